@@ -12,8 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that the vectorised kernels take at once; bounds a Python worker's memory.
-BLOCK_BYTES = 4 << 20
+#: Bytes and rows of text that the vectorised kernels take at once; they bound a Python worker's memory.
+BLOCK_BYTES = 2 << 20
+BLOCK_ROWS = 4096
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
         at = 0
         while at < len(text):
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
-            yield batch.slice(at, min(to, len(text)) - at)
+            to = min(to, len(text), at + BLOCK_ROWS)
+            yield batch.slice(at, to - at)
             at = to
 
 

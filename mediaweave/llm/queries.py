@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as _exact
+from . import minhash as _minhash
+from . import quality as _quality
 from ._common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +18,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(spark, documents(spark, sf_dir))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _minhash.near_duplicates(spark, documents(spark, sf_dir), words=3, percent=85)
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.weak_quality(spark, documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
