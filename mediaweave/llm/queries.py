@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as _exact
 from . import minhash as _minhash
+from . import pii as _pii
 from . import quality as _quality
+from . import secrets as _secrets
+from . import toxicity as _toxicity
 from ._common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +21,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(spark, documents(spark, sf_dir))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pii.find_pii(documents(spark, sf_dir))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _secrets.find_secrets(spark, documents(spark, sf_dir))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _toxicity.toxicity(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _minhash.near_duplicates(spark, documents(spark, sf_dir), words=3, percent=85)
 
@@ -27,6 +42,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
+    "op3_secrets": op3_secrets,
+    "op5_toxicity": op5_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
