@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as _exact
 from . import minhash as _minhash
+from . import packing as _packing
 from . import pii as _pii
 from . import quality as _quality
 from . import secrets as _secrets
@@ -33,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity.toxicity(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _minhash.near_duplicates(spark, documents(spark, sf_dir), words=3, percent=85)
 
@@ -46,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op3_secrets": op3_secrets,
     "op5_toxicity": op5_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
