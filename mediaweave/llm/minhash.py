@@ -216,3 +216,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     out = signs.select("doc_id", *same).join(named, same, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay, one document of each component, with all their columns."""
+    gone = near_duplicates(spark, docs, words, percent).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
