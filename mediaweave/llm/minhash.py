@@ -5,11 +5,13 @@ bin placement: in round i < BINS each element falls into one hashed bin with a v
 round BINS + j each element falls into bin j, so after 2 * BINS rounds every coordinate is full, and the number of equal
 coordinates of two sketches is concentrated around their Jaccard similarity.
 
-Sketches are cut into bands. Texts that share a band meet in a bucket, and each bucket is worked through by leaders: a
-leader is compared with the bucket's members of other components, and texts that are verified to be alike join one
-component. A bucket is finished when all members that have not led are in one component, so every pair that shares
-a bucket is either compared or known to be connected, without a bucket's pairs being listed. Texts with one and the same
-set meet no buckets: one stands for all.
+Sketches are cut into bands. Texts that share a band meet in a bucket. Each bucket first compares its members with a leader,
+drawn by a hash so that a text meets many leaders over its bands; texts that are verified to be alike join one component.
+In buckets that still hold several components, the members outside of the largest one are compared with the others by
+sketches, in blocks of bounded size: first their closest partners of other components are verified, twice, which joins most
+of what can be joined, and then every remaining pair that the sketches do not rule out. So every pair that shares a bucket is ruled
+out by its sketches, verified, or known to be connected, without a bucket's pairs being listed. Texts with one and the same set
+meet no buckets: one stands for all.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ._common import BLOCK_ROWS, Scratch, blocks, id_text, text_bytes
 from ._words import LOWER, U, Words, grams, mix
@@ -29,10 +30,12 @@ BINS, BANDS, ROWS = 128, 25, 5
 #: The low bits of a shingle's hash make room for the text's number in a block, so that one sort serves a block.
 _SPARE = U(BLOCK_ROWS.bit_length() - 1)
 #: A pair whose sketches agree in fewer coordinates than this share of the asked similarity is not verified; at the
-#: threshold itself the share lies more than six standard deviations below the mean.
-SLACK = 0.75
-#: Leaders of a bucket that one round compares.
-LEADERS = 8
+#: threshold itself it lies some four and a half standard deviations below the mean.
+SLACK = 0.84
+#: Members of a bucket on each side of a block.
+SIDE = 2048
+#: Closest partners that the rounds before the last verify.
+CLOSEST = (3, 12)
 _FULL = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -100,15 +103,16 @@ def _signs(words: int):
                     pa.array(a.view(np.int64)),
                     pa.array(b.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.reshape(-1).view(np.int64))),
+                    pa.array([r.tobytes() for r in keys], pa.binary()),
                     pa.array([r.tobytes() for r in (mix(sketch) >> U(56)).astype(np.uint8)], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                ["doc_id", "n_shingles", "set_a", "set_b", "bands", "keys", "sketch"],
             )
 
     return run
 
 
-_SIGNS = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"
+_SIGNS = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, keys binary, sketch binary"
 
 
 def _alike(least: int):
@@ -143,6 +147,56 @@ def _verified(words: int, percent: int):
     return run
 
 
+def _pairs(least: int, closest: int | None):
+    """Of rows sorted by block: pairs of a row of the first side with one of the second, of other components, that the
+    sketches do not rule out; the `closest` of each row, or all. A pair is given in the first bucket that it shares."""
+
+    def of_block(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        side = np.array([r[3] for r in rows])
+        rep, part = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+        outer, lead = np.array([r[6] for r in rows]), np.array([r[7] for r in rows])
+        band = np.array([r[8] for r in rows])
+        sketch = np.frombuffer(b"".join(r[9] for r in rows), np.uint8).reshape(-1, BINS)
+        keys = np.frombuffer(b"".join(r[10] for r in rows), "<i8").reshape(-1, BANDS)
+        left, right = np.flatnonzero((side == 0) & ~lead), np.flatnonzero((side == 1) & ~lead)
+        found = []
+        for y in left:
+            same = (sketch[right] == sketch[y]).sum(axis=1)
+            fits = (same >= least) & (part[right] != part[y])
+            if closest is None:
+                fits &= ~outer[right] | (rep[right] > rep[y])
+            z = right[fits]
+            if len(z):
+                if closest is not None and len(z) > closest:
+                    z = z[np.argsort(-same[fits], kind="stable")[:closest]]
+                else:
+                    z = z[~(keys[z, : band[y]] == keys[y, : band[y]]).any(axis=1)]
+                found.append((np.full(len(z), rep[y]), rep[z]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+
+        def flush():
+            if len(rows) > 1:
+                a, b = of_block(rows)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != at:
+                    yield from flush()
+                    at, rows = row[:3], []
+                rows.append(row)
+        yield from flush()
+
+    return run
+
+
 def components(scratch: Scratch, edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """node, component: the smallest node reachable over edges (a, b); nodes without an edge are left out.
 
@@ -174,11 +228,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     same = ["set_a", "set_b", "n_shingles"]
     sets = scratch.table(signs.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")))
     # a document id may come twice with other texts: its first row by set speaks for the band keys
-    reps = signs.select(*same, "doc_id", "bands", "sketch").join(sets, same).where("doc_id = rep").dropDuplicates([*same])
-    reps = scratch.table(reps.select("rep", "bands", "sketch"))
-    keyed = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).where("n > 1").select("bucket", "first")
-    members = scratch.table(keyed.join(shared, "bucket").select("bucket", "rep", "first", (F.col("rep") == F.col("first")).alias("led")))
+    reps = signs.select(*same, "doc_id", "bands", "keys", "sketch").join(sets, same).where("doc_id = rep").dropDuplicates([*same])
+    reps = scratch.table(reps.select("rep", "bands", "keys", "sketch"))
+    keyed = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    draw = F.min(F.struct(F.xxhash64("rep", "bucket").alias("draw"), "rep"))
+    shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), draw["rep"].alias("first")).where("n > 1")
+    members = scratch.table(keyed.join(shared, "bucket").select("bucket", "band", "rep", "first", "n", (F.col("rep") == F.col("first")).alias("lead")))
     wanted = members.select("rep").distinct()
     bodies = scratch.table(texts.join(wanted.hint("shuffle_hash"), texts.doc_id == wanted.rep).select("rep", "text").dropDuplicates(["rep"]))
     sketch = reps.select("rep", "sketch")
@@ -194,21 +249,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
         full = near.join(bodies.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a").join(bodies.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
         return full.select("a", "b", "text_a", "text_b").mapInArrow(_verified(words, percent), "a long, b long")
 
-    links = scratch.table(verify(members.where("not led").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()))
+    first = members.where("not lead").select(F.least("first", "rep").alias("a"), F.greatest("first", "rep").alias("b")).distinct()
+    links = scratch.table(verify(first))
     parts = components(scratch, links)
-    while True:
-        now = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", "led", F.coalesce("component", "rep").alias("component"))
-        heads = now.where("not led").groupBy("bucket", "component").agg(F.min("rep").alias("head"))
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("head"))
-        some = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
-        leaders = heads.withColumns({"rank": rank, "some": some}).where(f"some > 1 and rank <= {LEADERS}").select("bucket", "head", F.col("component").alias("of"))
-        leaders = scratch.table(leaders)
-        if leaders.isEmpty():
+    least = int(BINS * percent / 100 * SLACK)
+    for closest in (*CLOSEST, None):
+        now = members.where("n > 2").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "band", "rep", "lead", F.coalesce("component", "rep").alias("component"))
+        size = now.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count(F.lit(1)).alias("parts"))
+        split = size.where("parts > 1").select("bucket", F.col("main.component").alias("main"), F.ceil(F.col("n") / SIDE).alias("across"), F.ceil((F.col("n") - F.col("main.count")) / SIDE).alias("down"))
+        rows = now.join(split, "bucket").withColumn("outer", F.col("component") != F.col("main"))
+        rows = scratch.table(rows.join(reps.select("rep", "sketch", "keys"), "rep"))
+        if rows.isEmpty():
             break
-        pairs = now.where("not led").join(leaders, "bucket").where("component <> of").select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b")).distinct()
+        cell = lambda side, i, j: ["bucket", i, j, F.lit(side).alias("side"), "rep", "component", "outer", "lead", "band", "sketch", "keys"]
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        rows_of = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("down"))
+        columns_of = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("across"))
+        left = rows.where("outer").select(*cell(0, rows_of.alias("i"), every("across").alias("j")))
+        right = rows.select(*cell(1, every("down").alias("i"), columns_of.alias("j")))
+        tiled = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        pairs = scratch.table(tiled.mapInArrow(_pairs(least, closest), "a long, b long").distinct())
         more = scratch.table(verify(pairs))
-        led = leaders.select("bucket", F.col("head").alias("rep"), F.lit(True).alias("now_led"))
-        members = scratch.table(members.join(leaders.select("bucket").distinct(), "bucket", "left_semi").join(led, ["bucket", "rep"], "left").select("bucket", "rep", (F.col("led") | F.coalesce("now_led", F.lit(False))).alias("led")))
         if not more.isEmpty():
             links = links.unionByName(more)
             parts = components(scratch, links)
