@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -54,8 +55,10 @@ class Scratch:
         """Deletes tables that no later plan reads, and lets Spark remove shuffle files that are no longer referenced."""
         for t in tables:
             self._delete(t._scratch)  # type: ignore[attr-defined]
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):  # what the first pass finds unreachable, Spark's cleaner queues; the second frees what that held
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
     def clear(self) -> None:
         try:

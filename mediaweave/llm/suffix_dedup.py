@@ -35,8 +35,9 @@ GRAM = 24
 #: Bytes of stored input for each range of digits and each group of documents, about, and the most ranges.
 SHARE_BYTES = 4 << 20
 MOST_SHARES = 1 << 17
-#: Bytes of text that a task takes before it sends places off.
-TASK_BYTES = 4 << 20
+#: Bytes and texts that a task takes before it sends places off; a text's number there has 16 bits.
+TASK_BYTES = 6 << 20
+TASK_ROWS = 60_000
 
 
 def _sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -81,6 +82,18 @@ def _pack(x: np.ndarray, kind: str) -> bytes:
     return x.astype(kind).tobytes()
 
 
+def _pack48(x: np.ndarray) -> bytes:
+    """The low 48 bits of each number."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpack48(parts: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.reshape(-1).view("<u8").astype(U)
+
+
 _PLACES = "share int, docs binary, of binary, position binary, gram binary, stretch binary, decided boolean"
 
 
@@ -101,7 +114,7 @@ def _enter(depth: int, gram: int, shares: int, groups: int):
             where = docs[of] % groups % shares if decided else share
             for s, i in _split(where, np.flatnonzero(pick)):
                 have, local = np.unique(of[i], return_inverse=True)
-                rows.append((int(s), _pack(docs[have], "<i8"), _pack(local, "<u4"), _pack(position[i], "<u4"), None if decided else _pack(key[i] & U(0xFFFFFFFF), "<u4"), None if decided else _pack(stretch[i], "<u8"), decided))
+                rows.append((int(s), _pack(docs[have], "<i8"), _pack(local, "<u2"), _pack(position[i], "<u4"), None if decided else _pack(key[i] & U(0xFFFFFFFF), "<u4"), None if decided else _pack48(stretch[i]), decided))
         for at in range(0, len(rows), 4096):
             columns = list(zip(*rows[at : at + 4096], strict=True))
             kinds = [pa.int32(), *[pa.binary()] * 5, pa.bool_()]
@@ -110,16 +123,17 @@ def _enter(depth: int, gram: int, shares: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from ._common import blocks
 
-        kept, size = [], 0
+        kept, size, rows = [], 0, 0
         for block in blocks(batches, "text", 1 << 20):
             docs = np.asarray(block.column(0).to_pylist(), np.int64)
             raw, offsets = text_bytes(block.column(1))
             p = Places(raw, offsets, depth, gram)
             kept.append((docs, p.text, p.position, p.gram, p.stretch))
             size += len(raw)
-            if size >= TASK_BYTES:
+            rows += len(docs)
+            if size >= TASK_BYTES or rows > TASK_ROWS:
                 yield from send(*_joined(kept))
-                kept, size = [], 0
+                kept, size, rows = [], 0, 0
         if kept:
             yield from send(*_joined(kept))
 
@@ -147,7 +161,7 @@ def _arrays(table: pa.Table, name: str, kind: str) -> list[np.ndarray]:
 
 def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Document and position of all places of rows that hold docs, of and position."""
-    docs = [d[o] for d, o in zip(_arrays(table, "docs", "<i8"), _arrays(table, "of", "<u4"), strict=True)]
+    docs = [d[o] for d, o in zip(_arrays(table, "docs", "<i8"), _arrays(table, "of", "<u2"), strict=True)]
     return np.concatenate([np.zeros(0, np.int64), *docs]), np.concatenate([np.zeros(0, np.int64), *_arrays(table, "position", "<u4")]).astype(np.int64)
 
 
@@ -176,7 +190,7 @@ def _first_digits(groups: int):
         if table.num_rows:
             doc, position = _gather(table)
             gram = np.concatenate(_arrays(table, "gram", "<u4"))
-            stretch = np.concatenate(_arrays(table, "stretch", "<u8"))
+            stretch = _unpack48(table["stretch"].to_pylist())
             order = np.lexsort((doc, stretch, gram))
             doc, position, gram, stretch = doc[order], position[order], gram[order], stretch[order]
             new_gram = np.ones(len(doc), bool)
