@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,11 @@ from pyspark.sql.functions import pandas_udf
 TOLERANCE = 1e-9
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, wherever and however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def overlap(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(end_a, end_b) - F.greatest(start_a, start_b))
 
@@ -34,13 +39,11 @@ def is_close(a: Column, b: Column, tolerance: float = TOLERANCE) -> Column:
 def hash_bits(coefficients: Column) -> Column:
     """16 hex digits of 64 coefficients: a bit, most significant first, says that a coefficient is above the median of
     all but the first."""
-    median = F.array_sort(F.slice(coefficients, 2, 63))[31]
-
-    def half(start: int) -> Column:
+    def half(start: int, median: Column) -> Column:
         bits = F.transform(F.slice(coefficients, start, 32), lambda c: F.when(c > median, F.lit(1)).otherwise(F.lit(0)).cast("long"))
         return F.lower(F.lpad(F.hex(F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a * 2 + b)), 8, "0"))
 
-    return F.concat(half(1), half(33))
+    return let(F.array_sort(F.slice(coefficients, 2, 63))[31], lambda median: F.concat(half(1, median), half(33, median)))
 
 
 def hash_halves(hash_hex: Column) -> Column:
@@ -77,9 +80,9 @@ def norm(vector: Column) -> Column:
 
 def l2_normalized(vector: Column) -> Column:
     """The unit vector; an error for a zero vector or one with values that are not finite."""
-    size = norm(vector)
-    good = (size > 0) & F.forall(vector, lambda x: ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return F.when(good, F.transform(vector, lambda x: x.cast("double") / size)).otherwise(F.raise_error(F.lit("a vector must be finite and not zero")).cast("array<double>"))
+    finite = F.forall(vector, lambda x: ~F.isnan(x) & (F.abs(x) != float("inf")))
+    wrong = F.raise_error(F.lit("a vector must be finite and not zero")).cast("array<double>")
+    return let(norm(vector), lambda size: F.when((size > 0) & finite, F.transform(vector, lambda x: x.cast("double") / size)).otherwise(wrong))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -92,10 +95,10 @@ def vector_valid(vector: Column, size: int | None = None) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    top = F.array_max(logits)
-    exps = F.transform(logits, lambda x: F.exp(x - top))
-    total = F.aggregate(exps, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(exps, lambda x: x / total)
+    def share(exps: Column) -> Column:
+        return let(F.aggregate(exps, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(exps, lambda x: x / total))
+
+    return let(F.array_max(logits), lambda top: let(F.transform(logits, lambda x: F.exp(x - top)), share))
 
 
 def backoff(attempts_used: Column, initial: float, factor: float, most: float) -> Column:

@@ -44,11 +44,12 @@ def words(text: Column) -> Column:
 def word_grams(word: Column, least: int = 2, most: int = 3) -> Column:
     """Grams of one word, by size and then place. A size beyond the word has none (a sequence must not run downwards)."""
     none = F.array().cast("array<string>")
-    parts = []
-    for n in range(least, most + 1):
+
+    def of_size(n: int) -> Column:
         at = F.sequence(F.lit(1), F.length(word) - (n - 1))
-        parts.append(F.when(F.length(word) >= n, F.transform(at, lambda i, n=n: F.substr(word, i, F.lit(n)))).otherwise(none))
-    return F.concat(*parts)
+        return F.when(F.length(word) >= n, F.transform(at, lambda i: F.substr(word, i, F.lit(n)))).otherwise(none)
+
+    return F.concat(*map(of_size, range(least, most + 1)))
 
 
 def character_ngrams(text: Column, least: int = 2, most: int = 3) -> Column:

@@ -97,11 +97,13 @@ def fold_budget(items: list[tuple[int, str, str]], render: Callable[[list[tuple[
     taken: list[tuple[int, str]] = []
     out: list[int] = []
     short: list[int] = []
+    used = counter.count(render([]))
     for key, block, compact in items:
         if counter.count(render([*taken, (key, block)])) <= most:
             taken.append((key, block))
+            used = counter.count(render(taken))
             continue
-        room = most - counter.count(render(taken)) - 2
+        room = most - used - 2
         fitted = ""
         while room > 0 and (cut := counter.truncate(compact, room)):
             if counter.count(render([*taken, (key, cut)])) <= most:
@@ -110,6 +112,7 @@ def fold_budget(items: list[tuple[int, str, str]], render: Callable[[list[tuple[
             room -= 1
         if fitted:
             taken.append((key, fitted))
+            used = counter.count(render(taken))
             short.append(key)
         else:
             out.append(key)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.numeric import hamming, hash_halves
+from ..functions.numeric import hamming, hash_halves, let
 from ..functions.text import frame_name
 
 #: Scene lengths in seconds from which there are two and three frames; most differing bits of a duplicate.
@@ -40,9 +40,13 @@ def greedy_dedup(frames: DataFrame, by: list[str], distance: int = MAX_DISTANCE,
     gone = F.array().cast("array<struct<at:bigint,distance:int,of:bigint>>")
     start = F.struct(kept.alias("kept"), gone.alias("gone"))
 
+    def nearest(state: Column, x: Column) -> Column:
+        return F.array_min(F.transform(state["kept"], lambda k: F.struct(hamming(x["bits"], k["bits"]).cast("int").alias("distance"), k["at"].alias("of"))))
+
     def step(state: Column, x: Column) -> Column:
-        near = F.array_min(F.transform(state["kept"], lambda k: F.struct(hamming(x["bits"], k["bits"]).cast("int").alias("distance"), k["at"].alias("of"))))
-        dup = F.coalesce(near["distance"] <= distance, F.lit(False))
+        return let(nearest(state, x), lambda near: decide(state, x, near, F.coalesce(near["distance"] <= distance, F.lit(False))))
+
+    def decide(state: Column, x: Column, near: Column, dup: Column) -> Column:
         return F.struct(
             F.when(dup, state["kept"]).otherwise(F.array_append(state["kept"], F.struct(x["at"].alias("at"), x["bits"].alias("bits")))).alias("kept"),
             F.when(dup, F.array_append(state["gone"], F.struct(x["at"].alias("at"), near["distance"].alias("distance"), near["of"].alias("of")))).otherwise(state["gone"]).alias("gone"),
