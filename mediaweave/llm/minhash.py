@@ -7,9 +7,9 @@ coordinates of two sketches is concentrated around their Jaccard similarity.
 
 Sketches are cut into bands. Texts that share a band meet in a bucket. Each bucket first compares its members with a leader,
 drawn by a hash so that a text meets many leaders over its bands; texts that are verified to be alike join one component.
-In buckets that still hold several components, the members outside of the largest one are compared with the others by
-sketches, in blocks of bounded size: first their closest partners of other components are verified, twice, which joins most
-of what can be joined, and then every remaining pair that the sketches do not rule out. So every pair that shares a bucket is ruled
+Buckets that still hold several components are worked through in blocks of bounded size: members outside of the largest
+component are compared with the others, by sketches and then by their whole sets, closest first, and a pair that is already
+connected is passed over, so a block gives fewer links than it has rows. So every pair that shares a bucket is ruled
 out by its sketches, verified, or known to be connected, without a bucket's pairs being listed. Texts with one and the same set
 meet no buckets: one stands for all.
 """
@@ -33,9 +33,7 @@ _SPARE = U(BLOCK_ROWS.bit_length() - 1)
 #: threshold itself it lies some four and a half standard deviations below the mean.
 SLACK = 0.84
 #: Members of a bucket on each side of a block.
-SIDE = 2048
-#: Closest partners that the rounds before the last verify.
-CLOSEST = (3, 12)
+SIDE = 1024
 _FULL = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -125,66 +123,99 @@ def _alike(least: int):
     return run
 
 
-def _verified(words: int, percent: int):
-    """Pairs whose sets, made of the whole texts, have 100 * intersection >= percent * union."""
+def _set_bytes(values: np.ndarray) -> bytes:
+    """48 bits of each hash; sets keep their order and, but for one chance in many millions, their size."""
+    return np.ascontiguousarray((values >> U(4)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
+
+def _set_values(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8").astype(np.int64)
+
+
+def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in blocks([batch], "text_b"):
-                sides = []
-                for name in ("text_a", "text_b"):
-                    texts = b.column(b.schema.get_field_index(name))
-                    of, values = shingle_sets(texts, words)
-                    sides.append((values, np.searchsorted(of, np.arange(b.num_rows + 1))))
-                (x, xe), (y, ye) = sides
-                good = np.zeros(b.num_rows, bool)
-                for i in range(b.num_rows):
-                    p, q = x[xe[i] : xe[i + 1]], y[ye[i] : ye[i + 1]]
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    good[i] = both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
-                yield b.select([0, 1]).filter(pa.array(good))
+        for block in blocks(batches):
+            of, values = shingle_sets(block.column(1), words)
+            ends = np.searchsorted(of, np.arange(block.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array([_set_bytes(values[ends[i] : ends[i + 1]]) for i in range(block.num_rows)], pa.binary())], ["rep", "members"])
 
     return run
 
 
-def _pairs(least: int, closest: int | None):
-    """Of rows sorted by block: pairs of a row of the first side with one of the second, of other components, that the
-    sketches do not rule out; the `closest` of each row, or all. A pair is given in the first bucket that it shares."""
-
-    def of_block(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        side = np.array([r[3] for r in rows])
-        rep, part = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
-        outer, lead = np.array([r[6] for r in rows]), np.array([r[7] for r in rows])
-        band = np.array([r[8] for r in rows])
-        sketch = np.frombuffer(b"".join(r[9] for r in rows), np.uint8).reshape(-1, BINS)
-        keys = np.frombuffer(b"".join(r[10] for r in rows), "<i8").reshape(-1, BANDS)
-        left, right = np.flatnonzero((side == 0) & ~lead), np.flatnonzero((side == 1) & ~lead)
-        found = []
-        for y in left:
-            same = (sketch[right] == sketch[y]).sum(axis=1)
-            fits = (same >= least) & (part[right] != part[y])
-            if closest is None:
-                fits &= ~outer[right] | (rep[right] > rep[y])
-            z = right[fits]
-            if len(z):
-                if closest is not None and len(z) > closest:
-                    z = z[np.argsort(-same[fits], kind="stable")[:closest]]
-                else:
-                    z = z[~(keys[z, : band[y]] == keys[y, : band[y]]).any(axis=1)]
-                found.append((np.full(len(z), rep[y]), rep[z]))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return np.minimum(a, b), np.maximum(a, b)
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, of two whole sets."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _verified(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = [linked(_set_values(x), _set_values(y), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _block_links(rows: list[tuple], least: int, percent: int) -> list[tuple[int, int]]:
+    """Links between components of a block's rows (bucket, i, j, side, component, outer, lead, band, sketch, keys, members).
+
+    Rows of side 0, or the outer ones where there are none, are compared with those of side 1. A pair is left to the first bucket that it shares.
+    """
+    side, part = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
+    outer, lead, band = np.array([r[5] for r in rows]), np.array([r[6] for r in rows]), rows[0][7]
+    sketch = np.frombuffer(b"".join(r[8] for r in rows), np.uint8).reshape(-1, BINS)
+    keys = np.frombuffer(b"".join(r[9] for r in rows), "<i8").reshape(-1, BANDS)
+    right = np.flatnonzero((side == 1) & ~lead)
+    left = np.flatnonzero((side == 0) & ~lead)
+    if not len(left):
+        left = right[outer[right]]
+    same_as, found = [], []
+    for y in left:
+        same = (sketch[right] == sketch[y]).sum(axis=1)
+        fits = (same >= least) & (part[right] != part[y])
+        z = right[fits]
+        own = ~(keys[z, :band] == keys[y, :band]).any(axis=1)
+        same_as.append(same[fits][own])
+        found.append(np.stack([np.full(own.sum(), y), z[own]], axis=1))
+    if not found:
+        return []
+    pairs = np.concatenate(found)[np.argsort(-np.concatenate(same_as), kind="stable")]
+    root = {c: c for c in part.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    sets: dict[int, np.ndarray] = {}
+    out = []
+    for y, z in pairs.tolist():
+        a, b = find(int(part[y])), find(int(part[z]))
+        if a != b:
+            for x in (y, z):
+                if x not in sets:
+                    sets[x] = _set_values(rows[x][10])
+            if linked(sets[y], sets[z], percent):
+                out.append((int(part[y]), int(part[z])))
+                root[max(a, b)] = min(a, b)
+    return out
+
+
+def _blocks_links(least: int, percent: int):
+    """Of rows sorted by block: the links of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
 
         def flush():
-            if len(rows) > 1:
-                a, b = of_block(rows)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            links = _block_links(rows, least, percent) if len(rows) > 1 else []
+            if links:
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -235,44 +266,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), draw["rep"].alias("first")).where("n > 1")
     members = scratch.table(keyed.join(shared, "bucket").select("bucket", "band", "rep", "first", "n", (F.col("rep") == F.col("first")).alias("lead")))
     wanted = members.select("rep").distinct()
-    bodies = scratch.table(texts.join(wanted.hint("shuffle_hash"), texts.doc_id == wanted.rep).select("rep", "text").dropDuplicates(["rep"]))
-    sketch = reps.select("rep", "sketch")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        near = (
-            pairs.join(sketch.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-            .join(sketch.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-            .select("a", "b", "sketch_a", "sketch_b")
-            .mapInArrow(_alike(int(BINS * percent / 100 * SLACK)), "a long, b long")
-        )
-        near = scratch.table(near)
-        full = near.join(bodies.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a").join(bodies.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-        return full.select("a", "b", "text_a", "text_b").mapInArrow(_verified(words, percent), "a long, b long")
-
+    bodies = scratch.table(texts.join(wanted.hint("shuffle_hash"), texts.doc_id == wanted.rep).select("rep", "text").dropDuplicates(["rep"]).mapInArrow(_sets(words), "rep long, members binary"))
+    least = int(BINS * percent / 100 * SLACK)
+    side = lambda df, value, name: df.select(F.col("rep").alias(name), F.col(value).alias(f"{value}_{name}"))
     first = members.where("not lead").select(F.least("first", "rep").alias("a"), F.greatest("first", "rep").alias("b")).distinct()
-    links = scratch.table(verify(first))
+    near = first.join(side(reps, "sketch", "a"), "a").join(side(reps, "sketch", "b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike(least), "a long, b long")
+    near = scratch.table(near)
+    links = near.join(side(bodies, "members", "a"), "a").join(side(bodies, "members", "b"), "b").select("a", "b", "members_a", "members_b").mapInArrow(_verified(percent), "a long, b long")
     parts = components(scratch, links)
-    least = int(BINS * percent / 100 * SLACK)
-    for closest in (*CLOSEST, None):
-        now = members.where("n > 2").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "band", "rep", "lead", F.coalesce("component", "rep").alias("component"))
-        size = now.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count(F.lit(1)).alias("parts"))
-        split = size.where("parts > 1").select("bucket", F.col("main.component").alias("main"), F.ceil(F.col("n") / SIDE).alias("across"), F.ceil((F.col("n") - F.col("main.count")) / SIDE).alias("down"))
-        rows = now.join(split, "bucket").withColumn("outer", F.col("component") != F.col("main"))
-        rows = scratch.table(rows.join(reps.select("rep", "sketch", "keys"), "rep"))
-        if rows.isEmpty():
-            break
-        cell = lambda side, i, j: ["bucket", i, j, F.lit(side).alias("side"), "rep", "component", "outer", "lead", "band", "sketch", "keys"]
-        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        rows_of = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("down"))
-        columns_of = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("across"))
-        left = rows.where("outer").select(*cell(0, rows_of.alias("i"), every("across").alias("j")))
-        right = rows.select(*cell(1, every("down").alias("i"), columns_of.alias("j")))
-        tiled = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-        pairs = scratch.table(tiled.mapInArrow(_pairs(least, closest), "a long, b long").distinct())
-        more = scratch.table(verify(pairs))
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            parts = components(scratch, links)
+
+    now = members.where("n > 2").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "band", "rep", "lead", F.coalesce("component", "rep").alias("component"))
+    size = now.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count(F.lit(1)).alias("parts"))
+    split = size.where("parts > 1").select("bucket", F.col("main.component").alias("main"), F.ceil(F.col("n") / SIDE).alias("across"), F.ceil((F.col("n") - F.col("main.count")) / SIDE).alias("down"))
+    rows = now.join(split, "bucket").withColumn("outer", F.col("component") != F.col("main"))
+    rows = scratch.table(rows)
+    cell = lambda value, i, j: ["rep", "bucket", i, j, F.lit(value).alias("side"), "component", "outer", "lead", "band"]
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    rows_of = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("down"))
+    columns_of = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("across"))
+    left = rows.where("outer and across * down > 1").select(*cell(0, rows_of.alias("i"), every("across").alias("j")))
+    right = rows.select(*cell(1, every("down").alias("i"), columns_of.alias("j")))
+    tiles = left.unionByName(right).join(reps.select("rep", "sketch", "keys"), "rep").join(bodies, "rep").drop("rep")
+    tiled = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    more = components(scratch, tiled.select("bucket", "i", "j", "side", "component", "outer", "lead", "band", "sketch", "keys", "members").mapInArrow(_blocks_links(least, percent), "a long, b long"))
+    # components of components: what the blocks linked
+    joined = parts.select("node", F.col("component").alias("part")).join(more.select(F.col("node").alias("part"), "component"), "part", "left").select("node", F.coalesce("component", "part").alias("component"))
+    parts = joined.unionByName(more.join(parts.select("node"), "node", "left_anti"))
     named = sets.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
     out = signs.select("doc_id", *same).join(named, same, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
