@@ -24,7 +24,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _BLANK = " \t\n\x0b\x0c\r"
 
-_MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_letters long, n_chars long"
+_MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_letters long, n_chars long, n_symbol_runs long"
 
 
 def duplicate_lines(text: str) -> tuple[int, int]:
@@ -70,10 +70,13 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return sums[offsets[1:]] - sums[offsets[:-1]]
 
         points = (raw & 0xC0) != 0x80
+        runs = _SYMBOL[raw]
+        runs[1:] &= raw[1:] == raw[:-1]
+        runs[:1] = False
         lines = [duplicate_lines(t) for t in texts.to_pylist()]
         letters = ((raw | 0x20) >= 97) & ((raw | 0x20) <= 122) | (raw >= 0xC0)
-        columns = [words.counts, per_text(points & words.inside), per_text(_SYMBOL[raw]), [x[0] for x in lines], repeated_words(words), [x[1] for x in lines], per_text(letters), per_text(points)]
-        yield pa.RecordBatch.from_arrays([block.column(0), *(pa.array(np.asarray(c, np.int64)) for c in columns)], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_chars"])
+        columns = [words.counts, per_text(points & words.inside), per_text(_SYMBOL[raw]), [x[0] for x in lines], repeated_words(words), [x[1] for x in lines], per_text(letters), per_text(points), per_text(runs)]
+        yield pa.RecordBatch.from_arrays([block.column(0), *(pa.array(np.asarray(c, np.int64)) for c in columns)], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_chars", "n_symbol_runs"])
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -100,41 +103,41 @@ def rules() -> list[Rule]:
         Rule("length", words < 20, words >= 50),
         Rule("word_length", (c("word_chars") < 2 * words) | (c("word_chars") > 14 * words), (c("word_chars") >= 3 * words) & (c("word_chars") <= 10 * words)),
         Rule("symbols", 10 * c("n_symbols") > words, 50 * c("n_symbols") <= words),
-        Rule("lines", 10 * c("n_dup_lines") > 3 * lines, 20 * c("n_dup_lines") <= lines),
-        Rule("repeats", 10 * c("n_repeat_words") > 2 * words, 20 * c("n_repeat_words") <= words),
-        Rule("letters", 2 * c("n_letters") < chars, 10 * c("n_letters") >= 6 * chars),
+        Rule("symbol_runs", 20 * c("n_symbol_runs") > words, 200 * c("n_symbol_runs") <= words),
+        Rule("letters", 100 * c("n_letters") < 65 * chars, 100 * c("n_letters") >= 70 * chars),
+        Rule("lines", 2 * c("n_dup_lines") > lines, 10 * c("n_dup_lines") <= lines),
+        Rule("repeats", 100 * c("n_repeat_words") > 25 * words, 10 * c("n_repeat_words") <= words),
     ]
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[float, np.ndarray, np.ndarray]:
-    """Expectation-maximisation over distinct vote patterns: the share of good documents, and each rule's rates of votes
-    (bad, abstain, good) given a bad and a good document. One pseudo-document smooths each rate.
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
+    """Expectation-maximisation over distinct vote patterns: the share of good documents, and hit[c, rule], how often a rule that
+    votes is right about a bad (c = 0) and a good (c = 1) document. That a rule abstains says nothing about a document.
 
-    Classes keep their meaning: a document starts as good by the mean of its votes.
+    One right and one wrong pseudo-vote smooth each rate, and a rule is never taken to be worse than chance. Classes keep their meaning: a document starts
+    as good by the mean of its votes.
     """
-    m = patterns.shape[1]
-    seen = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
+    against, for_ = patterns == -1, patterns == 1
     good = 1 / (1 + np.exp(-2.0 * patterns.sum(axis=1)))
-    share, rate = 0.5, np.full((2, m, 3), 1 / 3)
+    share, hit = 0.5, np.full((2, patterns.shape[1]), 0.7)
     for _ in range(rounds):
         was = good
         weight = np.stack([(1 - good) * counts, good * counts])
         share = (weight[1].sum() + 1) / (counts.sum() + 2)
-        rate = np.einsum("cp,pmv->cmv", weight, seen) + 1 / 3
-        rate /= rate.sum(axis=2, keepdims=True)
-        good = posterior(patterns, share, rate)
+        right = np.stack([weight[0] @ against, weight[1] @ for_])
+        hit = np.clip((right + 1) / (weight @ (against | for_) + 2), 0.5, 1 - 1e-6)
+        good = posterior(patterns, share, hit)
         if np.abs(good - was).max() < 1e-9:
             break
-    return share, rate[0], rate[1]
+    return share, hit
 
 
-def posterior(patterns: np.ndarray, share: float, rate: np.ndarray) -> np.ndarray:
-    """Probability that a document with a pattern is good. A rule's odds never point against its own vote."""
-    seen = np.stack([patterns == v for v in (-1, 0, 1)], axis=2)
-    odds = np.log(rate[1]) - np.log(rate[0])
-    odds[:, 0], odds[:, 2] = np.minimum(odds[:, 0], 0), np.maximum(odds[:, 2], 0)
-    logit = np.log(share / (1 - share)) + np.einsum("pmv,mv->p", seen, odds)
-    return 1 / (1 + np.exp(-logit))
+def posterior(patterns: np.ndarray, share: float, hit: np.ndarray) -> np.ndarray:
+    """Probability that a document with a pattern is good."""
+    yes = np.log(hit[1]) - np.log1p(-hit[0])
+    no = np.log1p(-hit[1]) - np.log(hit[0])
+    logit = np.log(share / (1 - share)) + (patterns == 1) @ yes + (patterns == -1) @ no
+    return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
 
 
 def weak_quality(spark: SparkSession, docs: DataFrame, floor: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
@@ -151,8 +154,8 @@ def weak_quality(spark: SparkSession, docs: DataFrame, floor: float = 0.5, scrat
     table = "pattern string, good double"
     if found:
         patterns = np.array([[int(v) for v in r["pattern"].split(",")] for r in found])
-        share, bad, good = fit(patterns, np.array([r["count"] for r in found], float))
-        by = spark.createDataFrame([(r["pattern"], float(p)) for r, p in zip(found, posterior(patterns, share, np.stack([bad, good])), strict=True)], table)
+        share, hit = fit(patterns, np.array([r["count"] for r in found], float))
+        by = spark.createDataFrame([(r["pattern"], float(p)) for r, p in zip(found, posterior(patterns, share, hit), strict=True)], table)
     else:
         by = spark.createDataFrame([], table)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
