@@ -29,7 +29,7 @@ ANCHORS = {0: "Speech", 16: "Laughter", 63: "Clapping", 67: "Applause", 72: "Ani
 
 
 def canonical_label(index: Column) -> Column:
-    return F.coalesce(*(F.when(F.lit(False) | _within(index, ranges), F.lit(label)) for label, ranges in LABELS))
+    return F.coalesce(*(F.when(_within(index, ranges), F.lit(label)) for label, ranges in LABELS))
 
 
 def _within(index: Column, ranges) -> Column:

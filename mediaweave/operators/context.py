@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TokenCounter, fmt_ts, optional_text
+from ..functions.text import TokenCounter, fmt_ts
 
 MEDIA = ["media_id"]
 
@@ -130,7 +130,7 @@ def budget_context(cards: DataFrame, media: DataFrame, most: int, counter: Token
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("scene_id")
         toc = dict(zip(pdf.scene_id, pdf.toc, strict=True))
-        name, meta = pdf.name.iloc[0] if isinstance(pdf.name, pd.Series) else pdf["name"].iloc[0], pdf.meta.iloc[0]
+        name, meta = pdf["name"].iloc[0], pdf["meta"].iloc[0]
         render = lambda rows: whole_context(name, meta, [toc[k] for k, _ in rows], [b for _, b in rows])
         taken, out, short = fold_budget(list(zip(pdf.scene_id, pdf.block, pdf.compact, strict=True)), render, counter, most)
         text = render(taken)
@@ -177,5 +177,3 @@ def legacy_context(cards: DataFrame, hits: DataFrame) -> DataFrame:
     text = F.concat(F.lit("## 영상 개요 (전체 씬 목차)\n"), F.col("toc"), F.lit("\n\n## 질의 관련 씬 카드 (관련도 순, 마지막이 최상위)\n"), F.col("blocks"))
     return block.join(toc, MEDIA).select("query_id", "media_id", text.alias("context"))
 
-
-__all__ = ["budget_context", "card_block", "compact_card", "first_content", "fold_budget", "legacy_context", "metadata_lines", "optional_text", "query_context", "rendered", "static_context", "toc_line"]
