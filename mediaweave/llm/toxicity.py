@@ -2,7 +2,8 @@
 
 N-grams of the lower-cased bytes are hashed to BUCKETS. A text's feature is the bucket's log-count ratio where the text has
 the n-gram at all, so a long text is judged by what it holds and not by how often. Logistic regression over these
-features gives the weights. Fitting uses at most `per_class` labelled rows of each class, picked by a hash of the id;
+features gives the weights. Fitting uses at most `per_class` labelled rows of each class, picked by a hash of the id, and each
+row stands for as many labelled rows of its class as were passed over, so the classes weigh by their true share at every size;
 scoring reads every whole text.
 """
 
@@ -67,11 +68,13 @@ def bucket_of(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """doc_id, text and toxic of at most per_class training rows of each class."""
+    """doc_id, text, toxic and weight (labelled rows of the class for each row taken) of at most per_class training rows of each class."""
     clean = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (bucket_of(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id", F.lit(17)), "doc_id"]
     few = clean.where("toxic = 1").orderBy(*order).limit(per_class).union(clean.where("toxic = 0").orderBy(*order).limit(per_class))
-    return id_text(docs).join(F.broadcast(few), "doc_id").select("doc_id", "text", "toxic")
+    share = clean.groupBy("toxic").agg(F.greatest(F.count(F.lit(1)) / per_class, F.lit(1.0)).alias("weight"))  # two rows
+    few = few.join(F.broadcast(share), "toxic")
+    return id_text(docs).join(F.broadcast(few), "doc_id").select("doc_id", "text", "toxic", "weight")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,8 +92,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(train: DataFrame, rounds: int = 300, ridge: float = 1.0) -> Model:
-    """Fits on rows (doc_id, text, toxic), which are a bounded sample. With one class or none, scores are that class's share."""
-    few = train.coalesce(8)
+    """Fits on rows (doc_id, text, toxic, and a weight unless all weigh the same), which are a bounded sample. With one class or none, scores are that class's share."""
+    few = train.select("doc_id", "text", "toxic", "weight" if "weight" in train.columns else F.lit(1.0).alias("weight")).coalesce(8)
     parts = few.mapInArrow(_counts, "counts binary, toxic long, n long").collect()  # two rows of fixed size for each of 8 tasks
     df, n = np.zeros((2, BUCKETS)), np.zeros(2)
     for p in parts:
@@ -110,20 +113,22 @@ def fit(train: DataFrame, rounds: int = 300, ridge: float = 1.0) -> Model:
         for block in blocks(batches):
             of, bucket = gram_buckets(*text_bytes(block.column(1)), keep)
             ends = np.searchsorted(of, np.arange(block.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(block.column(2).to_pylist(), pa.int64()), pa.array([bucket[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in range(block.num_rows)], pa.binary())], ["doc_id", "toxic", "buckets"])
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(block.column(2).to_pylist(), pa.int64()), block.column(3), pa.array([bucket[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in range(block.num_rows)], pa.binary())], ["doc_id", "toxic", "weight", "buckets"])
 
-    rows = sorted(few.mapInArrow(features, "doc_id long, toxic long, buckets binary").collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows of KEPT buckets at most
+    rows = sorted(few.mapInArrow(features, "doc_id long, toxic long, weight double, buckets binary").collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows of KEPT buckets at most
     y = np.array([r["toxic"] for r in rows], float)
     columns = [np.frombuffer(r["buckets"], "<i4") for r in rows]
     of = np.repeat(np.arange(len(rows)), [len(c) for c in columns])
     bucket = np.concatenate(columns)
     value = ratio[bucket]
-    # both classes weigh by their true share among labelled rows, up to the bound of the sample
-    w, b = np.zeros(BUCKETS), float(np.log(n[1] / n[0]))
+    # both classes weigh by their true share among labelled rows, whatever the sample took of each
+    weight = np.array([r["weight"] for r in rows])
+    weight /= weight.mean()
+    w, b = np.zeros(BUCKETS), float(np.log(weight[y == 1].sum() / weight[y == 0].sum()))
     m1, m2, mb, vb = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(of, weights=w[bucket] * value, minlength=len(y)) + b, -30, 30)))
-        g = (p - y) / len(y)
+        g = weight * (p - y) / len(y)
         grad = np.bincount(bucket, weights=g[of] * value, minlength=BUCKETS) + ridge / len(y) * w
         gb = g.sum()
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad * grad

@@ -127,6 +127,14 @@ def test_toxicity(spark, data, odd, empty):
     assert {r.predicted for r in toxicity.toxicity(spark, d, none).collect()} <= {0, 1}
 
 
+def test_toxicity_weighs_classes_by_their_share_at_every_size(spark):
+    made = [(i, "one and the same plain text") for i in range(900)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i % 9 == 0)) for i in range(900)], "doc_id long, quality int, toxic int")
+    score = [toxicity.toxicity(spark, docs, labels, per_class).first().score for per_class in (40, 4000)]
+    assert all(0.08 < x < 0.15 for x in score) and abs(score[0] - score[1]) < 0.01
+
+
 def test_tokenizer_paths():
     assert public_tokenizers.path("byte_bpe_50k.json").endswith("byte_bpe_50k.json")
 
