@@ -39,6 +39,32 @@ def test_field_finds_added_kinds():
     assert hit >= 0.8 * total and wrong <= 0.03 * total
 
 
+@pytest.mark.parametrize("kind, text", [
+    ("street", "he lives at |12 Old Mill Road| now"), ("ssn", "her SSN |123 45 6789| is here"), ("masked_email", "mail |john.smith (at) example (dot) com| now"),
+    ("masked_email", "contact |berta (AT) example (DOT) org| soon"), ("iban", "iban |MT84 MALT 0110 0001 2345 MTLC AST0 01S| now"),
+])
+def test_field_reads_forms_that_no_cue_lists(kind, text):
+    a, b, c = text.split("|")
+    assert (kind, len(a), len(a) + len(b)) in pii.field_spans(a + b + c, pii.trained())
+
+
+def test_field_tables_score_every_segment_and_bounds_lose_none(data):
+    import pyarrow.parquet as pq
+
+    model = pii.trained()
+    field = pii.Field(model.weights)
+    texts = ["a Dr. Mo Li, 12 Old Mill Road\n4111 1111 1111 1111 and DE12 3456 7890 1234 5678 x (at) b.com @ 99", "", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    texts += [t[:600] for t in pq.read_table(f"{data}/documents.parquet")["text"].to_pylist()[:8]]
+    for text in texts:
+        toks, held = pii.tokens(text, 0, len(text)), pii._Tokens(field, [text])
+        want = {(i, j, t): x for i, j, t, x, _ in model.scores(toks, text)}
+        starts = np.arange(len(toks))
+        got = {(i, i + n, t): v for n, at, x in (held.scored(starts) if toks else ()) for i, row in zip(at.tolist(), x.tolist(), strict=True) for t, v in zip(pii.TYPES, row, strict=True)}
+        assert want.keys() == got.keys() and all(abs(want[k] - got[k]) < 1e-3 for k in want)
+        near = {(i, i + n) for n, at, x in (held.scored(starts, held._bounds()) if toks else ()) for i in at.tolist()}
+        assert all(k[:2] in near for k, x in want.items() if x > 0 and k[2] in pii.ADDED)
+
+
 def test_dynamic_programme_is_the_best_of_all_segmentations():
     model = pii.SemiMarkov({t: {"1": -1.0, "f93": 2.0 if t == "ssn" else 0.0, "n5": 1.5 if t == "ssn" else -1.0} for t in pii.TYPES})
     text = "a 123-45-6789 b"
