@@ -276,6 +276,14 @@ def semantic_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc_key").alias("vec_id"), F.round("similarity", 6).alias("similarity"), "rank")
 
 
+@registered()
+def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MTH5, MTH6, WIN5: every fiftieth vector as a query against all vectors, the ten best of each. Held against brute force by a test."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
+    out = search.nearest(e, e.where("doc_key % 50 = 0").withColumnRenamed("doc_key", "query_id"), 10)
+    return out.select("query_id", F.col("doc_key").alias("vec_id"), F.round("similarity", 6).alias("similarity"), "rank")
+
+
 _HYBRID = f"""{_BM25}, qv AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id < 3),
   sem AS (SELECT query_id, vec_id AS doc_id, list_sum(list_transform(range(1, 65), lambda i: embedding[i]::DOUBLE * v[i]::DOUBLE)) AS sim FROM embeddings, qv),
   sr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 6) DESC, doc_id) AS rank FROM sem),

@@ -193,3 +193,30 @@ def test_numbers(spark):
         df.select(numeric.l2_normalized(F.array(F.lit(0.0)))).collect()
     vec = one(df.select(numeric.l2_normalized(F.array(F.lit(3.0), F.lit(4.0))).alias("x"))).x
     assert vec == [0.6, 0.8]
+
+
+def test_every_fiftieth_vector_is_a_query_against_all(spark, data):
+    import numpy as np
+
+    from mediaweave.queries import QUERIES
+
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").collect()
+    ids, v = [r.vec_id for r in rows], np.array([r.embedding for r in rows], float)
+    want = set()
+    for q in range(len(ids)):
+        if ids[q] % 50 == 0:
+            best = sorted(zip(-np.round(v @ v[q], 6), ids, strict=True))[:10]
+            want |= {(ids[q], key, rank + 1) for rank, (_, key) in enumerate(best)}
+    got = QUERIES["semantic_topk"](spark, data).collect()
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in got} == want and len(got) == len(want)
+
+
+def test_nearest_over_many_blocks_is_the_same(spark):
+    import random
+
+    r = random.Random(5)
+    rows = [(k, [r.choice([-1.0, 0.5, 1.0]) for _ in range(4)]) for k in range(60)]
+    e = spark.createDataFrame(rows, "doc_key long, vector array<double>")
+    q = e.where("doc_key % 5 = 0").withColumnRenamed("doc_key", "query_id")
+    want = {(a, key, rank + 1) for a, v in rows if a % 5 == 0 for rank, (_, key) in enumerate(sorted((-sum(x * y for x, y in zip(v, w, strict=True)), key) for key, w in rows)[:3])}
+    assert {(x.query_id, x.doc_key, x["rank"]) for x in search.nearest(e, q, 3, rows=7).collect()} == want
