@@ -16,6 +16,7 @@ meet no buckets: one stands for all.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +30,21 @@ from ._words import LOWER, U, Words, grams, mix
 BINS, BANDS, ROWS = 128, 25, 5
 #: The low bits of a shingle's hash make room for the text's number in a block, so that one sort serves a block.
 _SPARE = U(BLOCK_ROWS.bit_length() - 1)
-#: A pair whose sketches agree in fewer coordinates than this share of the asked similarity is not verified; at the
-#: threshold itself it lies some four and a half standard deviations below the mean.
-SLACK = 0.84
+#: Largest chance that a pair exactly at the asked similarity is passed over for its sketches, in the binomial model.
+MISSED = 1e-6
 #: Members of a bucket on each side of a block.
 SIDE = 1024
 _FULL = U(0xFFFFFFFFFFFFFFFF)
 
 
+def least_equal(percent: int) -> int:
+    """The most equal coordinates that may be asked of two sketches so that a pair at the threshold is missed with MISSED at most."""
+    t, below, k = percent / 100, 0.0, 0
+    while k < BINS and (below := below + math.comb(BINS, k) * t**k * (1 - t) ** (BINS - k)) <= MISSED:
+        k += 1
+    return k
+
+
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Of a block of texts: the text's number and the hash of each distinct shingle, sorted by both.
 
@@ -267,7 +275,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     members = scratch.table(keyed.join(shared, "bucket").select("bucket", "band", "rep", "first", "n", (F.col("rep") == F.col("first")).alias("lead")))
     wanted = members.select("rep").distinct()
     bodies = scratch.table(texts.join(wanted.hint("shuffle_hash"), texts.doc_id == wanted.rep).select("rep", "text").dropDuplicates(["rep"]).mapInArrow(_sets(words), "rep long, members binary"))
-    least = int(BINS * percent / 100 * SLACK)
+    least = least_equal(percent)
     side = lambda df, value, name: df.select(F.col("rep").alias(name), F.col(value).alias(f"{value}_{name}"))
     first = members.where("not lead").select(F.least("first", "rep").alias("a"), F.greatest("first", "rep").alias("b")).distinct()
     near = first.join(side(reps, "sketch", "a"), "a").join(side(reps, "sketch", "b"), "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike(least), "a long, b long")

@@ -1,3 +1,4 @@
+import math
 import random
 
 from tests.llm import brute
@@ -113,3 +114,10 @@ def test_radix_groups():
     digits = np.array([[1, 2], [1, 2], [1, 3], [1, 2]], np.uint64)
     at, group = suffix_dedup.radix_groups(np.array([0, 0, 0, 1]), digits)
     assert sorted(at) == [0, 1] and len(set(group)) == 1
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_miss_a_pair_at_the_threshold_once_in_a_million(percent):
+    t, n = percent / 100, minhash.BINS
+    below = lambda c: sum(math.comb(n, k) * t**k * (1 - t) ** (n - k) for k in range(c))
+    assert below(minhash.least_equal(percent)) <= 1e-6 < below(minhash.least_equal(percent) + 1)
