@@ -153,6 +153,61 @@ def test_toxicity(spark, data, odd, empty):
     assert {r.predicted for r in toxicity.toxicity(spark, d, none).collect()} <= {0, 1}
 
 
+def test_grams_and_scores_are_those_of_a_plain_version():
+    import math
+
+    import pyarrow as pa
+
+    from mediaweave.llm._common import text_bytes
+
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x ^= x >> 31
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        x ^= x >> 29
+        x = x * 0x94D049BB133111EB & mask
+        return x ^ (x >> 32)
+
+    def plain(text):
+        data, out = brute.lower(text).encode(), set()
+        for n in toxicity.SIZES:
+            for i in range(len(data) - n + 1):
+                h = n
+                for b in data[i : i + n]:
+                    h = h * 0x100000001B3 + (b + 1) * 0x9E3779B97F4A7C15 & mask
+                out.add(mixed(h) >> 64 - toxicity.BUCKETS.bit_length() + 1)
+        return out
+
+    r = random.Random(8)
+    words = [x + y for x in "THe a É idiot of".split() for y in "re|sh|\n| |.".split("|")]
+    for sizes in ([0, 1, 3], [2, 20, 0, 400], [30_000, 5, 0, 9_000], [0]):  # the longest go over several spans
+        texts = [" ".join(r.choice(words) for _ in range(k)) for k in sizes]
+        of, bucket = toxicity.gram_buckets(*text_bytes(pa.array(texts)))
+        want = [plain(t) for t in texts]
+        assert [set(bucket[of == k].tolist()) for k in range(len(texts))] == want
+        assert len(of) == sum(map(len, want)) and (np.diff(of) >= 0).all()
+        weights = np.where(np.arange(toxicity.BUCKETS) % 7 == 0, (np.arange(toxicity.BUCKETS) % 13 - 6) / 40, 0.0)
+        scores = toxicity.Model(weights, -0.25).scores(pa.array(texts))
+        assert np.allclose(scores, [1 / (1 + math.exp(0.25 - sum(weights[b] for b in w))) for w in want])
+
+
+def test_toxicity_over_folds(spark, data):
+    """Each of five folds of the labelled rows is scored by a fit on the other four. Labels that disagree between equal texts are noise."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet").collect()}
+    labels = [(r.doc_id, r.toxic) for r in spark.read.parquet(f"{data.replace('0.001', '0.01')}/labels.parquet").collect() if r.doc_id in docs]
+    rows = [(i, docs[i] or "", y) for i, y in labels]
+    wrong = clean = 0
+    for fold in range(5):
+        model = toxicity.fit(spark.createDataFrame([x for k, x in enumerate(rows) if k % 5 != fold], "doc_id long, text string, toxic int"))
+        import pyarrow as pa
+
+        held = [x for k, x in enumerate(rows) if k % 5 == fold]
+        for (_, _, y), p in zip(held, model.scores(pa.array([x[1] for x in held])), strict=True):
+            clean, wrong = clean + (y == 0), wrong + (y == 0 and p >= 0.5)
+    assert wrong <= 0.03 * clean
+
+
 def test_toxicity_weighs_classes_by_their_share_at_every_size(spark):
     made = [(i, "one and the same plain text") for i in range(900)]
     docs = spark.createDataFrame(made, "doc_id long, text string")
