@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 # The patterns that the results must follow.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -99,7 +101,18 @@ def digest(spans: list[tuple[str, int, int]]) -> str:
     return hashlib.sha256(joined(spans).encode()).hexdigest()
 
 
+def apart(base: list[tuple[str, int, int]], more: list[tuple]) -> list[tuple]:
+    """Those of `more`, whose second and third fields are start and end, that overlap no base span; base spans are sorted by start.
+
+    Of the base spans that start before an end, the farthest end decides, so the work is linear but for a search.
+    """
+    if not base or not more:
+        return list(more)
+    starts = [s for _, s, _ in base]
+    ends = list(accumulate((e for _, _, e in base), max))
+    return [x for x in more if not (k := bisect_left(starts, x[2])) or ends[k - 1] <= x[1]]
+
+
 def merged(base: list[tuple[str, int, int]], more: list[tuple[str, int, int]], kinds: list[str]) -> list[tuple[str, int, int]]:
     """All base spans, and those of `more` that overlap none of them; by start, then kind as listed."""
-    free = [x for x in more if not any(x[1] < e and s < x[2] for _, s, e in base)]
-    return sorted([*base, *free], key=lambda x: (x[1], kinds.index(x[0]), x[2]))
+    return sorted([*base, *apart(base, more)], key=lambda x: (x[1], kinds.index(x[0]), x[2]))

@@ -6,7 +6,7 @@ card number's digits compete with a social security number's, but spans of their
 
 The programme runs over all tokens of every text. Segments never cross a line's end, so lines are independent; and a segment
 of score 0 or less is in no best segmentation, so a line without a positive segment of an added type has no span to report
-and needs no posterior. Both are exact. Scores of all segments of a length are computed at once; a start is left out as soon as the largest
+and needs no posterior. Both are exact. Tokens and their classes come from tables over code points, many texts at once. Scores of all segments of a length are computed at once; a start is left out as soon as the largest
 weights that its line allows cannot raise any of its longer segments above 0.
 """
 
@@ -26,15 +26,17 @@ from pyspark.sql import DataFrame
 
 from ._common import blocks, id_text
 from ._spans import PERSONAL, base_spans, digest, joined, luhn, merged
+from ._words import _BASE, _BASE_INVERSE, U, mix, powers
 
 #: Most tokens of an entity: an account number has 34 characters, and each may be a token of its own.
 MAX_TOKENS = 34
 #: Most tokens of a segment whose sequence of shapes is a feature.
 SHAPED = 12
-#: Segment starts that are scored at once; they bound memory.
-STARTS = 1 << 14
-#: Least posterior probability of a segment that is reported.
-CERTAIN = 0.75
+#: Segment starts that are scored at once, and characters that are cut into tokens at once (or one text); they bound memory.
+STARTS = 1 << 16
+CHARACTERS = 1 << 18
+#: Least posterior probability of a segment that is reported: more likely than all else together.
+CERTAIN = 0.5
 ADDED = ("ssn", "iban", "person", "street", "local_phone", "masked_email")
 TYPES = (*PERSONAL, *ADDED)
 KINDS = [*PERSONAL, *ADDED]
@@ -315,9 +317,9 @@ class Field:
         self.below = self.node_rows.copy()
         for (node, _), to in sorted(steps.items(), key=lambda x: -x[1]):
             self.below[node] = np.maximum(self.below[node], self.below[to])
-        self.below = np.maximum(self.below, 0)
+        self.below = np.ascontiguousarray(np.maximum(self.below, 0)[:, _ADDED])
         most = np.stack([np.maximum.accumulate((digits[:, None] + spaces[None]).max(axis=1) + row(f"n{n}")) for n in range(1, MAX_TOKENS + 1)])
-        self.longer = np.concatenate([np.zeros((1, *most.shape[1:]), np.float32), np.maximum.accumulate(most[::-1])[::-1]])
+        self.longer = np.ascontiguousarray(np.concatenate([np.zeros((1, *most.shape[1:]), np.float32), np.maximum.accumulate(most[::-1])[::-1]])[:, :, _ADDED])
         largest = lambda name: np.max([np.zeros(len(TYPES), np.float32), *(x for f, x in self.rows.items() if re.fullmatch(name, f))], axis=0)
         self.largest = np.stack([largest(x) for x in ("names[0-9]+", "road(True|False)", "masked[0-9]+", "@", "luhn(True|False)", "iban(True|False)", "mask(True|False)")])
         # classes of tokens that all features treat alike; the first two stand for what is before and after a text
@@ -326,6 +328,8 @@ class Field:
         self.facts = [[0] * 7, [0] * 7]
         self.weighed = [[zero, zero, zero, row("b^"), row("bb^")], [zero, zero, row("a$"), zero, zero]]
         self.known: dict[str, int] = {}
+        self.by_key = np.full(_KEYS, -1, np.int32)
+        self.tables: tuple = (0,)
 
     def row(self, feature: str) -> np.ndarray:
         return self.rows.get(feature, np.zeros(len(TYPES), np.float32))
@@ -345,76 +349,177 @@ class Field:
         self.known[t] = self.classes[key]
         return self.known[t]
 
+    def class_tables(self) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """By class: facts, weights (first, last, after, before, before that), and those weights of the added types alone."""
+        if self.tables[0] != len(self.classes):
+            weighed = np.array(self.weighed)
+            self.tables = (len(self.classes), np.array(self.facts), *([np.ascontiguousarray(weighed[:, k, part]) for k in range(5)] for part in (slice(None), _ADDED)))
+        return self.tables[1:]
+
+    def kinds(self, text: str, start: np.ndarray, end: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The class of each token; tokens of one key have one class, and those of key -1 are looked up by themselves."""
+        kind = self.by_key[key]
+        kind[key < 0] = -1
+        for k in np.flatnonzero(kind < 0).tolist():
+            own = int(key[k])
+            if own >= 0 and self.by_key[own] >= 0:
+                kind[k] = self.by_key[own]
+                continue
+            token = text[start[k] : end[k]]
+            kind[k] = self.known[token] if token in self.known else self._class(token)
+            if own >= 0:
+                self.by_key[own] = kind[k]
+        return kind
+
     def spans(self, texts: list[str], certain: float = CERTAIN) -> list[list[tuple[str, int, int]]]:
         """Per text: spans of the added types, which are segments of the best segmentation that are certain enough."""
         out: list[list[tuple[str, int, int]]] = []
         group: list[str] = []
         size = 0
         for text in texts:
-            group.append(text)
-            size += len(text)
-            if size > 4 * STARTS:
+            if group and size + len(text) > CHARACTERS:
                 out += _Tokens(self, group).spans(certain)
                 group, size = [], 0
+            group.append(text)
+            size += len(text)
         return out + (_Tokens(self, group).spans(certain) if group else [])
 
 
+#: What a code point is: _TOKEN's kinds of characters, and bits of case, of digits and of what tables cannot treat.
+_SPACE, _ALPHA, _DIGIT, _OTHER, _UPPER, _LOWER, _ODD = 0, 1, 2, 3, 4, 8, 16
+_kinds_of = np.zeros(0x110000, np.uint8)
+_page_made = np.zeros(0x1100, bool)
+#: Keys of tokens: shape and word of letters, length of digits, and the code point of a single character.
+_WORD_LIST = sorted(_CUE_WORDS | _ROADS)
+_DIGIT_KEYS, _CHAR_KEYS, _KEYS = 1 << 9, 1 << 10, (1 << 10) + (1 << 14)
+
+
+def _character(c: str) -> int:
+    if c.isspace():
+        return _SPACE
+    if c in "0123456789":
+        return _DIGIT
+    if not c.isalnum() or c.isdecimal():
+        return _OTHER
+    return _ALPHA | _UPPER * c.isupper() | _LOWER * c.islower() | _ODD * (not c.isalpha() or c.lower() != c and not c.isupper())
+
+
+def _characters(codes: np.ndarray) -> np.ndarray:
+    pages = codes >> 8
+    if not _page_made[pages].all():
+        for page in np.unique(pages[~_page_made[pages]]).tolist():
+            _kinds_of[page << 8 : (page + 1) << 8] = [_character(chr(c)) for c in range(page << 8, (page + 1) << 8)]
+            _page_made[page] = True
+    return _kinds_of[codes]
+
+
+def _word_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix((sums[end] - sums[start]) * powers(_BASE_INVERSE, len(sums))[start] + (end - start).astype(U))
+
+
+def _letter_sums(codes: np.ndarray) -> np.ndarray:
+    low = codes.astype(U) + U(1)
+    low[(codes >= 65) & (codes <= 90)] += U(32)
+    sums = np.zeros(len(codes) + 1, U)
+    np.cumsum(low * powers(_BASE, len(codes)), out=sums[1:])
+    return sums
+
+
+def _known_words() -> tuple[np.ndarray, np.ndarray]:
+    codes = [np.frombuffer(w.encode("utf-32-le"), "<u4") for w in _WORD_LIST]
+    hashes = np.concatenate([_word_hash(_letter_sums(c), np.array([0]), np.array([len(c)])) for c in codes])
+    order = np.argsort(hashes)
+    return hashes[order], order + 1
+
+
+def cut_tokens(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and key of the tokens of _TOKEN in a text's code points. Tokens of one key are of one class; -1 is no key."""
+    what = _characters(codes)
+    kind = what & 3
+    new = np.append(True, kind[1:] != kind[:-1]) | (kind == _OTHER)
+    heads = np.flatnonzero(new)
+    ends = np.append(heads[1:], len(codes))
+    real = kind[heads] != _SPACE
+    start, end = heads[real], ends[real]
+    of, size = kind[start], end - start
+    key = np.full(len(start), -1, np.int64)
+    k = np.flatnonzero(of == _DIGIT)
+    key[k] = np.where(size[k] < _CHAR_KEYS - _DIGIT_KEYS, _DIGIT_KEYS + size[k], -1)
+    k = np.flatnonzero(of == _OTHER)
+    point = codes[start[k]]
+    key[k] = np.where(point < _KEYS - _CHAR_KEYS, _CHAR_KEYS + point, -1)
+    k = np.flatnonzero(of == _ALPHA)
+    if len(k):
+        # bits of case: 21 bits each of the upper, lower and odd characters so far
+        sums = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum((what >> 2 & 1).astype(np.int64) | (what >> 3 & 1).astype(np.int64) << 21 | (what >> 4).astype(np.int64) << 42, out=sums[1:])
+        held = sums[end[k]] - sums[start[k]]
+        upper, lower, odd = held & 0x1FFFFF, held >> 21 & 0x1FFFFF, held >> 42
+        first = what[start[k]]
+        starts_up = (first & _UPPER) > 0
+        rest_lower = lower - ((first & _LOWER) > 0)
+        shape = np.where(starts_up & (upper == 1) & (rest_lower > 0), 0, np.where((lower == 0) & (upper > 0), 1, np.where((upper == 0) & (lower > 0), 2, np.where(upper + lower > 0, 3, 4))))
+        word = np.zeros(len(k), np.int64)
+        short = np.flatnonzero(size[k] <= _LONGEST_WORD)
+        hashes = _word_hash(_letter_sums(codes), start[k[short]], end[k[short]])
+        at = np.minimum(np.searchsorted(_KNOWN[0], hashes), len(_WORD_LIST) - 1)
+        word[short] = np.where(_KNOWN[0][at] == hashes, _KNOWN[1][at], 0)
+        key[k] = np.where(odd > 0, -1, shape * 64 + word)
+    return start, end, key
+
+
+_LONGEST_WORD = max(map(len, _WORD_LIST))
+_KNOWN = _known_words()
+
+
 class _Tokens:
-    """The tokens of several texts on end. Every text is a line's end too."""
+    """The tokens of several texts on end, a line's end between any two."""
 
     def __init__(self, field: Field, texts: list[str]):
-        self.field, self.texts = field, texts
-        starts, ends, kinds, lines, spaces, of = [], [], [], [], [], []
-        line = space = 0
-        for k, text in enumerate(texts):
-            found = [m.span() for m in _TOKEN.finditer(text)]
-            if not found:
-                continue
-            known = field.known
-            kinds += [known[t] if t in known else field._class(t) for t in _TOKEN.findall(text)]
-            place = np.array(found)
-            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-            starts.append(place[:, 0])
-            ends.append(place[:, 1])
-            lines.append(np.cumsum(codes == 10)[place[:, 0]] + line)
-            spaces.append(np.cumsum(codes == 32)[place[:, 0]] + space)
-            of.append(np.full(len(found), k))
-            line, space = lines[-1][-1] + 1, spaces[-1][-1]
-        self.n = len(kinds)
+        self.field = field
+        self.text = "\n".join(texts)
+        codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        self.starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.n = 0
+        if not len(codes):
+            return
+        self.start, self.end, key = cut_tokens(codes)
+        self.n = len(key)
         if not self.n:
             return
-        self.start, self.end, self.line, self.space, self.of = map(np.concatenate, (starts, ends, lines, spaces, of))
-        self.kind = np.array(kinds)
+        self.kind = field.kinds(self.text, self.start, self.end, key)
+        self.line = np.cumsum(codes == 10)[self.start]
+        self.space = np.cumsum(codes == 32)[self.start]
+        self.of = np.searchsorted(self.starts, self.start, side="right") - 1
         new = np.append(True, self.of[1:] != self.of[:-1])
         new2 = new | np.append(True, new[:-1])
         self.before = np.where(new, 0, np.roll(self.kind, 1))
         self.before2 = np.where(new2, 0, np.roll(self.kind, 2))
         self.after = np.where(np.append(new[1:], True), 1, np.roll(self.kind, -1))
-        facts = np.array(field.facts)[self.kind]
+        every, self.weighed, self.weighed_added = field.class_tables()
+        facts = every[self.kind]
         self.shape, self.road = facts[:, 0], facts[:, 3]
         self.sums = np.concatenate([np.zeros((1, 6), np.int64), np.cumsum(facts[:, 1:], axis=0)])
-        self.weighed = np.array(field.weighed)
 
     def surface(self, i: int, j: int) -> str:
-        return self.texts[self.of[i]][self.start[i] : self.end[j - 1]]
+        return self.text[self.start[i] : self.end[j - 1]]
 
-    def _first(self, i: np.ndarray) -> np.ndarray:
-        w = self.weighed
-        return w[self.kind[i], 0] + w[self.before[i], 3] + w[self.before2[i], 4] + self.field.row("1")
+    def _first(self, i: np.ndarray, added: bool = False) -> np.ndarray:
+        w = self.weighed_added if added else self.weighed
+        if added:
+            return w[0][self.kind[i]] + w[3][self.before[i]] + w[4][self.before2[i]] + self.field.row("1")[_ADDED]
+        return w[0][self.kind[i]] + w[3][self.before[i]] + w[4][self.before2[i]] + self.field.row("1")
 
     def _last(self, j: np.ndarray) -> np.ndarray:
-        return self.weighed[self.kind[j], 1] + self.weighed[self.after[j], 2]
+        return self.weighed[1][self.kind[j]] + self.weighed[2][self.after[j]]
 
-    def _bounds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per line: the largest weights of segment ends and rare features, and the digits; and each token's line, from 0."""
+    def _bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per line: the largest weights of segment ends; and each token's line, from 0."""
         new = np.append(True, self.line[1:] != self.line[:-1])
         heads, of = np.flatnonzero(new), np.cumsum(new) - 1
-        top = np.concatenate([np.maximum.reduceat(self._last(np.arange(a, b)), h - a) for a, b, h in self._pieces(heads)])
-        held = self.sums[np.append(heads[1:], self.n)] - self.sums[heads]
-        _, road, masked, mail, checked, _, form = self.field.largest
-        for there, most in ((held[:, 2] > 0, road), ((held[:, 3] > 0) & (held[:, 4] > 0), masked + form), (held[:, 5] > 0, mail), (held[:, 0] >= 12, checked)):
-            top[there] += most
-        return top, np.minimum(held[:, 0], 24), of
+        w = self.weighed_added
+        last = lambda a, b: w[1][self.kind[a:b]] + w[2][self.after[a:b]]
+        return np.concatenate([np.maximum.reduceat(last(a, b), h - a) for a, b, h in self._pieces(heads)]), of
 
     def _pieces(self, heads: np.ndarray):
         """Ranges of whole lines, of about STARTS tokens."""
@@ -428,21 +533,28 @@ class _Tokens:
         """(length, starts, scores) of the segments that start at i, by length. With bounds, starts without a further positive
         segment of an added type are left out."""
         field, row = self.field, self.field.row
-        first, node = self._first(i), np.ones(len(i), np.int32)
         if bounds:
-            top, digits, of = bounds
-            rest = (first + top[of[i]])[:, _ADDED]
-            rest[self.sums[i + 1, 1] > self.sums[i, 1]] += field.largest[0][_ADDED]
-            rest[self.end[i] - self.start[i] == 2] += field.largest[5][_ADDED]
-            most = digits[of[i]]
+            top, of = bounds
+            rest = self._first(i, True) + top[of[i]]
+            # what the longest segment from here holds, over the line's end or not
+            held = self.sums[np.minimum(i + MAX_TOKENS, self.n)] - self.sums[i]
+            most = np.minimum(held[:, 0], 24)
+            names, road, masked, mail, checked, account, form = field.largest[:, _ADDED]
+            two = (self.end[i] - self.start[i] == 2) & (most > 1)
+            for there, weight in ((self.sums[i + 1, 1] > self.sums[i, 1], names), (held[:, 2] > 0, road), ((held[:, 3] > 0) & (held[:, 4] > 0), masked + form), (held[:, 5] > 0, mail), (held[:, 0] >= 12, checked), (two, account)):
+                rest[there] += weight
+            may = rest + field.longer[1][most] + field.below[field.tree[1, self.shape[i]]]
+            good = np.flatnonzero(may.max(axis=1) > -1e-3)
+            i, rest, most = i[good], rest[good], most[good]
+        first, node = self._first(i), np.ones(len(i), np.int32)
         for size in range(1, MAX_TOKENS + 1):
             good = i + size <= self.n
             good &= self.line[np.minimum(i + size, self.n) - 1] == self.line[i]
-            if bounds and (size <= SHAPED + 1 or size % 4 == 0):
-                may = rest + field.longer[size][most][:, _ADDED] + 1e-3
+            if bounds and size > 1 and (size <= SHAPED + 1 or size % 4 == 0):
+                may = rest + field.longer[size][most]
                 if size <= SHAPED:
-                    may += field.below[field.tree[node, self.shape[np.minimum(i + size, self.n) - 1]]][:, _ADDED]
-                good &= (may > 0).any(axis=1)
+                    may += field.below[field.tree[node, self.shape[np.minimum(i + size, self.n) - 1]]]
+                good &= may.max(axis=1) > -1e-3
             if not good.all():
                 i, first, node = i[good], first[good], node[good]
                 if bounds:
@@ -460,7 +572,7 @@ class _Tokens:
             x[k] += np.where(self.road[i[k] + size - 1, None] > 0, row("roadTrue"), row("roadFalse"))
             for k in np.flatnonzero((held[:, 3] > 0) & (held[:, 4] > 0)):
                 x[k] += row(f"masked{held[k, 3]}")
-                if m := _MASK.match(self.texts[self.of[i[k]]], self.start[i[k]]):
+                if m := _MASK.match(self.text, self.start[i[k]]):
                     x[k] += row(f"mask{m.end() == self.end[i[k] + size - 1]}")
             x[held[:, 5] > 0] += row("@")
             for k in np.flatnonzero(held[:, 0] >= 12):
@@ -468,11 +580,11 @@ class _Tokens:
             if size > 1:  # an account number begins with two letters, which are a token, and has two digits at least
                 for k in np.flatnonzero((held[:, 0] >= 2) & (self.end[i] - self.start[i] == 2)):
                     if _IBAN.fullmatch(self.surface(i[k], i[k] + size)):
-                        x[k] += row(f"iban{_ends(_IBAN, self.texts[self.of[i[k]]], self.start[i[k]], self.end[i[k] + size - 1])}")
+                        x[k] += row(f"iban{_ends(_IBAN, self.text, self.start[i[k]], self.end[i[k] + size - 1])}")
             yield size, i, x
 
     def spans(self, certain: float) -> list[list[tuple[str, int, int]]]:
-        out: list[list[tuple[str, int, int]]] = [[] for _ in self.texts]
+        out: list[list[tuple[str, int, int]]] = [[] for _ in self.starts[1:]]
         if not self.n:
             return out
         bounds = self._bounds()
@@ -498,7 +610,8 @@ class _Tokens:
             ahead, back = _passes(hi - lo, at[order], ends[order], every[order].astype(float))
             for i, j, t, x in chosen:
                 if ahead[i - lo] + x + back[j - lo] - ahead[-1] >= math.log(certain):
-                    out[self.of[i]].append((TYPES[t], int(self.start[i]), int(self.end[j - 1])))
+                    base = self.starts[self.of[i]]
+                    out[self.of[i]].append((TYPES[t], int(self.start[i] - base), int(self.end[j - 1] - base)))
         return [sorted(x, key=lambda s: (s[1], s[2])) for x in out]
 
 
@@ -524,11 +637,11 @@ def field_spans(text: str, model: SemiMarkov, certain: float = CERTAIN) -> list[
     return Field(model.weights).spans([text], certain)[0]
 
 
-_SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_more long, base_sha256 string, spans string"
+_SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_more long"
 
 
 def find_pii(docs: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
-    """Per input row: doc_id, counts of base spans, n_more (added spans), base_sha256 and spans (kind:start:end, code points).
+    """Per input row: doc_id, counts of base spans, base_sha256, spans (kind:start:end, code points) and n_more (added spans).
 
     A null text counts as empty and has no spans; rows are read one by one, so repeated rows give repeated results; an empty
     table gives an empty result. Columns other than doc_id and text are not read. Added spans that overlap a base span are left out.
@@ -543,8 +656,9 @@ def find_pii(docs: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
                 base = base_spans(text, PERSONAL)
                 every = merged(base, more, KINDS)
                 count = [sum(k == kind for k, _, _ in base) for kind in PERSONAL]
-                rows.append([*count, len(every) - len(base), digest(base), joined(every)])
+                rows.append([*count, digest(base), joined(every), len(every) - len(base)])
             columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([block.column(0), *(pa.array(c, pa.int64()) for c in columns[:5]), *(pa.array(c, pa.string()) for c in columns[5:])], [x.split()[0] for x in _SCHEMA.split(", ")])
+            kinds = [*[pa.int64()] * 4, *[pa.string()] * 2, pa.int64()]
+            yield pa.RecordBatch.from_arrays([block.column(0), *map(pa.array, columns, kinds)], [x.split()[0] for x in _SCHEMA.split(", ")])
 
     return id_text(docs).mapInArrow(run, _SCHEMA)
