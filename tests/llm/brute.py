@@ -1,5 +1,6 @@
 """Plain versions of the operators, for small inputs."""
 
+import bisect
 import collections
 import hashlib
 import re
@@ -67,6 +68,19 @@ def cut(docs, depth):
     return out
 
 
+def best_fit_decreasing(lengths, capacity):
+    """How many sequences best-fit decreasing opens."""
+    gaps, opened = [], 0
+    for n in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(gaps, n)
+        if k == len(gaps):
+            opened += 1
+            bisect.insort(gaps, capacity - n)
+        else:
+            bisect.insort(gaps, gaps.pop(k) - n)
+    return opened
+
+
 def luhn(s):
     d = [int(c) for c in s][::-1]
     return sum(x if k % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for k, x in enumerate(d)) % 10 == 0

@@ -1,14 +1,17 @@
 import random
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as pt
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from mediaweave.llm import _bpe, packing, pieces, token_counts
+from mediaweave.llm._common import Scratch
+from tests.llm import brute
 
 MODEL, VOCABULARY, RANKS = pt.path("piece_bpe_32k.model"), pt.path("byte_bpe_50k.json"), pt.path("byte_bpe_50k.tiktoken")
 HARD = ["", "a", " ", "  ", "a  b", "\n\nx y \n z", "trail  ", "\t tab", "日本語 テスト🎉", "x" * 300 + " " + "abcabc" * 40, "a\x00b", "</s> <s> <unk>", "é ñ ü ß\r\n", "...... ---- ====", "    indented\n        more", "a　b c", "don't we'll", "<|endoftext|> hi", "\x1cy z"]
@@ -57,24 +60,64 @@ def test_bytes_equal_the_library():
         assert ids(enc.encode(t)) == library.encode(t, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("seed", range(30))
-def test_supersteps_place_everything(seed):
-    r = random.Random(seed)
-    lengths = Counter(r.choice([r.randint(1, 100), r.randint(1, 9), 100]) for _ in range(r.randint(1, 400)))
-    rows, held = defaultdict(list), defaultdict(set)
-    for n, rank, many, first, offset in packing.supersteps(lengths, 100):
-        for k in range(many):
-            rows[first + k].append((offset, n))
-            assert rank + k not in held[n]
-            held[n].add(rank + k)
-    assert all(held[n] == set(range(c)) for n, c in lengths.items())
+LENGTHS = {
+    "even": lambda r: r.randint(1, 2048), "small": lambda r: r.randint(1, 60), "middle": lambda r: r.randint(300, 900), "one": lambda r: 700,
+    "few": lambda r: r.choice([1, 20, 682, 683, 1000, 1049, 2048]), "third": lambda r: 500 if r.random() < 0.34 else r.randint(1, 2048),
+}
+
+
+@pytest.mark.parametrize("kind, ranges", [("even", 700), ("even", 1 << 16), ("small", 1 << 16), ("middle", 1 << 16), ("one", 300), ("few", 500), ("third", 900)])
+def test_supersteps_pack_as_best_fit_decreasing(spark, monkeypatch, kind, ranges):
+    """Every length gets a place, sequences have no holes, and there are at most one in a hundred more than best-fit decreasing opens."""
+    monkeypatch.setattr(packing, "RANGE", ranges)
+    r = random.Random(5)
+    lengths = [LENGTHS[kind](r) for _ in range(2500)]
+    scratch = Scratch(spark)
+    out = packing.place(spark, scratch, scratch.table(spark.createDataFrame(list(enumerate(lengths)), "uid long, length int"))).collect()
+    rows = defaultdict(list)
+    for x in out:
+        rows[x.seq].append((x.offset, lengths[x.uid]))
+    assert sorted(x.uid for x in out) == list(range(len(lengths)))
     for row in rows.values():
         at = 0
         for offset, n in sorted(row):
             assert offset == at
             at += n
-        assert at <= 100
-    assert len(rows) <= 11 / 9 * -(-sum(n * c for n, c in lengths.items()) // 100) + 1
+        assert at <= 2048
+    assert len(rows) <= 1.01 * brute.best_fit_decreasing(lengths, 2048) + 1
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_sweeps_over_ranges_match_what_one_sweep_matches(seed):
+    """Pieces and slots along sizes are a sequence of brackets; ranges and the scan over them match the same brackets."""
+    r = random.Random(seed)
+    events = sorted((r.randrange(40) * 2 + piece, r.randrange(10**6), 1 if piece else r.randint(1, 3), piece) for piece in (r.random() < 0.5 for _ in range(60)))
+    stack, want = [], {}
+    for _, id_, many, piece in events:
+        if not piece:
+            stack += [id_] * many
+        elif stack:
+            want[id_] = stack.pop()
+    cuts = sorted(r.sample(range(61), 5))
+    got, left, pieces_, slots = {}, [], {}, {}
+    for pid, (a, b) in enumerate(zip([0, *cuts], [*cuts, 60], strict=True)):
+        part = events[a:b]
+        batch = pa.RecordBatch.from_arrays([pa.array([pid] * len(part), pa.int32()), pa.array([x[0] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.int64()), pa.array([x[2] for x in part], pa.int64()), pa.array([5] * len(part), pa.int32())], ["pid", "key", "id", "many", "size"])
+        n = m = 0
+        for out in packing._sweep(iter([batch])):
+            for x in out.to_pylist():
+                if x["uid"] is None:
+                    slots |= {(pid, x["rank"] + k): x["seq"] for k in range(x["many"])}
+                    m += x["many"]
+                elif x["seq"] is None:
+                    pieces_[pid, x["rank"]] = x["uid"]
+                    n += 1
+                else:
+                    got[x["uid"]] = x["seq"]
+        left.append((pid, n, m))
+    for p, at, q, first, n in packing.across(left):
+        got |= {pieces_[p, at + k]: slots[q, first + n - 1 - k] for k in range(n)}
+    assert got == want
 
 
 def test_packing(spark, data, odd):
