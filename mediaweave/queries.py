@@ -6,6 +6,7 @@ coefficients of frames, `documents` are card texts, `benchmark` items are search
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from .functions import numeric, text
 from .operators import audio, context, evaluation, intervals, keyframes, overlay, search, timeline, visual
 from .plans.runs import newest_terminal
 from .plans.stages import DEFAULT_STAGES
-from .sources import media
+from .session import shared_dir
+from .sources import media, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -228,83 +230,109 @@ def char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", g.alias("g")).select("doc_id", F.size("g").alias("n_grams"), F.md5(F.array_join(F.sort_array("g"), " ").cast("binary")).alias("grams_md5"))
 
 
-#: Fixed queries of the search stand-ins.
-SEARCHES = ((0, "worthless idiot"), (1, "license version"), (2, "the station"))
-_SEARCHES = "qs AS (SELECT * FROM (VALUES " + ", ".join(f"({k}::BIGINT, '{q}')" for k, q in SEARCHES) + ") v(query_id, text))"
+#: Grams of a query: the first ones, by word, size and place.
+_QUERY_GRAMS = """qg AS (SELECT query_id, g FROM (SELECT query_id, g, min(p) AS p FROM (SELECT query_id, unnest(l) AS g, generate_subscripts(l, 1) AS p FROM (SELECT query_id, %s AS l FROM qn)) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY p) <= 128)""" % _GRAMS.replace("list_distinct(", "(", 1)
 _FOLD = f"translate(%s, '{search.FOLD_FROM}', '{search.FOLD_TO}')"
-_BM25 = f"""{_SEARCHES}, dn AS (SELECT doc_id, {_NORMAL} AS t FROM documents), qn AS (SELECT query_id, {_NORMAL} AS t FROM qs),
-  toks AS (SELECT doc_id, 'w' AS field, {_FOLD % 'w'} AS term FROM (SELECT doc_id, unnest(string_split(t, ' ')) AS w FROM dn) WHERE w <> ''
+
+
+def _bm25_sql(asked: str) -> str:
+    """Common tables up to kw (query_id, doc_id, score, rank) for the queries (query_id, text) that `asked` selects."""
+    return f"""qs AS ({asked}), dn AS MATERIALIZED (SELECT doc_id, {_NORMAL} AS t FROM documents), qn AS MATERIALIZED (SELECT query_id, {_NORMAL} AS t FROM qs), {_QUERY_GRAMS},
+  toks AS MATERIALIZED (SELECT doc_id, 'w' AS field, {_FOLD % 'w'} AS term FROM (SELECT doc_id, unnest(string_split(t, ' ')) AS w FROM dn) WHERE w <> ''
     UNION ALL SELECT doc_id, 'g', {_FOLD % 'g'} FROM (SELECT doc_id, unnest({_GRAMS}) AS g FROM dn)),
-  post AS (SELECT field, term, doc_id, count(*) AS tf FROM toks GROUP BY ALL), lens AS (SELECT d.doc_id, count(t.term) AS len FROM dn d LEFT JOIN toks t USING (doc_id) GROUP BY d.doc_id),
+  post AS MATERIALIZED (SELECT field, term, doc_id, count(*) AS tf FROM toks GROUP BY ALL), lens AS (SELECT d.doc_id, count(t.term) AS len FROM dn d LEFT JOIN toks t USING (doc_id) GROUP BY d.doc_id),
   st AS (SELECT count(*) AS n, avg(len) AS average FROM lens),
-  terms AS (SELECT query_id, 'w' AS field, {_FOLD % 'w'} AS term FROM (SELECT DISTINCT query_id, unnest(string_split(t, ' ')) AS w FROM qn) WHERE w <> ''
-    UNION ALL SELECT query_id, 'g', {_FOLD % 'g'} FROM (SELECT query_id, unnest({_GRAMS}) AS g FROM qn)),
+  terms AS (SELECT query_id, 'w' AS field, {_FOLD % 'w'} AS term FROM (SELECT DISTINCT query_id, unnest(string_split(t, ' ')) AS w FROM qn) WHERE w <> '' UNION ALL SELECT query_id, 'g', {_FOLD % 'g'} FROM qg),
   df AS (SELECT field, term, count(*) AS df FROM post GROUP BY field, term),
   parts AS (SELECT query_id, doc_id, greatest(ln((n - df + 0.5) / (df + 0.5)), 0) AS i0, CASE WHEN field = 'w' THEN 5.0 ELSE 1.0 END * tf AS f, len, average FROM terms JOIN post USING (field, term) JOIN df USING (field, term) JOIN lens USING (doc_id), st),
   bm AS (SELECT query_id, doc_id, sum((CASE WHEN i0 > 0 THEN i0 ELSE 1e-6 END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len / average))) AS score FROM parts GROUP BY query_id, doc_id),
-  kw AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM bm)"""
+  kw AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM bm)"""
+
+
+#: The searches' queries: every text whose id is divisible by fifty, and the vectors of the same ids.
+_EVERY_FIFTIETH = "SELECT doc_id AS query_id, text FROM documents WHERE doc_id % 50 = 0"
+_SIMILAR = "sem AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::DOUBLE * q.embedding[i]::DOUBLE)) AS sim FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q), sr AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 6) DESC, doc_id) AS rank FROM sem)"
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
 
 
-def _searches(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([*SEARCHES], "query_id long, query string")
+_indexes: dict[tuple[str, str], str] = {}
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.index_cards(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+def search_index(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stored index of all documents and vectors, written once for each application and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _indexes:
+        path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+        stores.build_index(spark, path, table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id", F.col("text"), _vectors(spark, sf_dir), {"schema_version": "2"})
+        _indexes[key] = path
+    return stores.read_index(spark, _indexes[key])
 
 
-def _keyword(spark: SparkSession, sf_dir: str, queries: DataFrame) -> DataFrame:
-    index = _index(spark, sf_dir)
-    terms = search.query_terms(queries)
-    return search.ranked(search.bm25(search.postings(index, terms), search.lengths(index), terms), "score", "rank")
+def _word_scorer(spark: SparkSession, sf_dir: str, queries: DataFrame) -> search.WordScorer:
+    index = search_index(spark, sf_dir)
+    return search.WordScorer(index["forward"], index["terms"], search.query_terms(queries))
 
 
-@registered(f"WITH {_BM25} SELECT query_id, doc_id, round(score, 6) AS score FROM kw WHERE rank <= 20")
+def _fiftieth(spark: SparkSession, sf_dir: str) -> tuple[search.WordScorer, search.VectorScorer]:
+    index = search_index(spark, sf_dir)
+    asked = index["scene_cards"].where("doc_key % 50 = 0").select(F.col("doc_key").alias("query_id"), F.col("text").alias("query"))
+    e = index["embeddings"]
+    return _word_scorer(spark, sf_dir, asked), search.VectorScorer(e, e.where("doc_key % 50 = 0").withColumnRenamed("doc_key", "query_id"))
+
+
+@registered(f"WITH {_bm25_sql(_EVERY_FIFTIETH)} SELECT query_id, doc_id, rank, round(score, 4) AS score FROM kw WHERE rank <= 20")
 def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG12, MTH7, WIN4, STR3, SRT5, SRC12, SRC13: keyword search over words and grams."""
-    top = _keyword(spark, sf_dir, _searches(spark)).where("rank <= 20")
-    return top.select("query_id", F.col("doc_key").alias("doc_id"), F.round("score", 6).alias("score"))
+    """AGG12, MTH7, WIN4, STR3, SRT5, SRC12, SRC13: keyword search over the stored index; every fiftieth text is a query."""
+    top = search.best_of(_fiftieth(spark, sf_dir)[0], 20, 6)
+    return top.select("query_id", F.col("doc_key").alias("doc_id"), "rank", F.round("score", 4).alias("score"))
+
 
+@registered(f"""WITH {_bm25_sql(_EVERY_FIFTIETH).replace("'g', ", "'g' AS field, ").replace("CASE WHEN field = 'w' THEN 5.0 ELSE 1.0 END", "CASE WHEN field = 'w' THEN 1.0 ELSE 0.0 END")},
+    asked AS (SELECT DISTINCT field, term FROM terms) SELECT field, count(*) AS n_terms, CAST(sum(df) AS BIGINT) AS n_postings FROM df JOIN asked USING (field, term) GROUP BY field""")
+def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC13, STR2, STR3: postings of the queries' terms, read from the stored index by term."""
+    index = search_index(spark, sf_dir)
+    asked = index["scene_cards"].where("doc_key % 50 = 0").select(F.col("doc_key").alias("query_id"), F.col("text").alias("query"))
+    terms = search.query_terms(asked).select("field", "term").distinct()
+    found = search.term_counts(index["postings"].join(terms, ["field", "term"], "left_semi"))
+    return found.groupBy(F.when(F.col("field") == "normalized_text", "w").otherwise("g").alias("field")).agg(F.count(F.lit(1)).alias("n_terms"), F.sum("df").alias("n_postings"))
 
-@registered("""WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, list_sum(list_transform(range(1, 65), lambda i: embedding[i]::DOUBLE * v[i]::DOUBLE)) AS sim FROM embeddings, q)
-    SELECT vec_id, round(sim, 6) AS similarity, row_number() OVER (ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM s""")
+
+@registered(f"WITH {_SIMILAR} SELECT query_id, r.doc_id AS vec_id, round(sim, 6) AS similarity, rank FROM sr r JOIN embeddings a ON a.vec_id = r.query_id JOIN embeddings b ON b.vec_id = r.doc_id WHERE a.label = b.label")
 def semantic_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MTH5, MTH6, WIN5: all vectors ranked against one."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
-    q = e.where("doc_key = 0").select(F.lit(0).alias("query_id"), "vector")
-    out = search.ranked(search.cosine(e, q), "similarity", "rank", 6)
-    return out.select(F.col("doc_key").alias("vec_id"), F.round("similarity", 6).alias("similarity"), "rank")
+    """MTH5, MTH6, WIN5: every fiftieth vector as a query; the places, among all vectors, of those that share its label."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), "label")
+    same = e.where("doc_key % 50 = 0").select(F.col("doc_key").alias("query_id"), "label").join(e, "label").select("query_id", "doc_key")
+    out = search.ranks_of(_fiftieth(spark, sf_dir)[1], same, 6)
+    return out.select("query_id", F.col("doc_key").alias("vec_id"), F.round("score", 6).alias("similarity"), "rank")
 
 
-@registered()
+@registered(f"WITH {_SIMILAR} SELECT query_id, doc_id AS vec_id, round(sim, 6) AS similarity, rank FROM sr WHERE rank <= 10")
 def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MTH5, MTH6, WIN5: every fiftieth vector as a query against all vectors, the ten best of each. Held against brute force by a test."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
+    """MTH5, MTH6, WIN5: every fiftieth vector as a query against all vectors, the ten best of each."""
+    e = _vectors(spark, sf_dir)
     out = search.nearest(e, e.where("doc_key % 50 = 0").withColumnRenamed("doc_key", "query_id"), 10)
     return out.select("query_id", F.col("doc_key").alias("vec_id"), F.round("similarity", 6).alias("similarity"), "rank")
 
 
-_HYBRID = f"""{_BM25}, qv AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id < 3),
-  sem AS (SELECT query_id, vec_id AS doc_id, list_sum(list_transform(range(1, 65), lambda i: embedding[i]::DOUBLE * v[i]::DOUBLE)) AS sim FROM embeddings, qv),
-  sr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 6) DESC, doc_id) AS rank FROM sem),
+_HYBRID = f"""{_bm25_sql(_EVERY_FIFTIETH)}, {_SIMILAR},
   fused AS (SELECT query_id, doc_id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM (SELECT query_id, doc_id, rank FROM kw UNION ALL SELECT query_id, doc_id, rank FROM sr WHERE round(sim, 6) >= 0.35) GROUP BY query_id, doc_id),
   top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS rank FROM fused QUALIFY rank <= 10)"""
 
 
 def _hybrid(spark: SparkSession, sf_dir: str, top_k: int = 10) -> DataFrame:
-    index = _index(spark, sf_dir)
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
-    vectors = e.where("doc_key < 3").select(F.col("doc_key").alias("query_id"), "vector")
-    queries = _searches(spark)
-    return search.hybrid(search.postings(index, search.query_terms(queries)), search.lengths(index), e, queries, vectors, top_k)
+    return search.hybrid(*_fiftieth(spark, sf_dir), top_k)
 
 
-@registered(f"""WITH {_HYBRID} SELECT query_id, doc_id, round(score, 9) AS score FROM fused""")
+@registered(f"""WITH {_bm25_sql(_EVERY_FIFTIETH)}, {_SIMILAR}, a AS (SELECT query_id, doc_id, rank FROM kw WHERE rank <= 50 UNION ALL SELECT query_id, doc_id, rank FROM sr WHERE rank <= 50)
+    SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM a GROUP BY query_id, doc_id""")
 def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOI11, AGG13: two rankings fused."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"))
-    sem = search.ranked(search.cosine(e, e.where("doc_key < 3").select(F.col("doc_key").alias("query_id"), "vector")), "similarity", "rank", 6)
-    out = search.fuse(_keyword(spark, sf_dir, _searches(spark)), sem.where(F.round("similarity", 6) >= 0.35))
+    """JOI11, AGG13: two rankings of fifty fused."""
+    words, vectors = _fiftieth(spark, sf_dir)
+    out = search.fuse(search.best_of(words, 50, 6), search.best_of(vectors, 50, 6))
     return out.select("query_id", F.col("doc_key").alias("doc_id"), F.round("score", 9).alias("score"))
 
 
@@ -312,24 +340,23 @@ def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     concat_ws(',', CASE WHEN kw.rank IS NOT NULL THEN 'keyword' END, CASE WHEN round(sr.sim, 6) >= 0.35 THEN 'semantic' END) AS reasons
     FROM top t LEFT JOIN kw USING (query_id, doc_id) LEFT JOIN sr USING (query_id, doc_id)""")
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FIL3, FIL10, JOI12, SRT2, PRJ10: hybrid search with reasons."""
+    """FIL3, FIL10, JOI12, SRT2, PRJ10: hybrid search with reasons; every fiftieth text, and the vector of its id, is a query."""
     return _hybrid(spark, sf_dir).select("query_id", "rank", F.col("doc_key").alias("doc_id"), F.round("score", 9).alias("score"), "keyword_rank", "semantic_rank", F.round("semantic_similarity", 6).alias("semantic_similarity"), F.array_join("reasons", ",").alias("reasons"))
 
 
-@registered(f"""WITH {_HYBRID}, t AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS position FROM documents),
-  o AS (SELECT query_id, rank, position + d AS position, step FROM top JOIN t USING (doc_id), (VALUES (0, 0), (1, -1), (2, 1), (3, -2), (4, 2)) v(step, d)),
-  f AS (SELECT query_id, doc_id, min(rank * 10 + step) AS first_at FROM o JOIN t USING (position) GROUP BY query_id, doc_id)
+@registered(f"""WITH {_HYBRID}, t AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS position FROM documents),
+  o AS (SELECT query_id, rank, source, position + d AS position, step FROM top JOIN t USING (doc_id), (VALUES (0, 0), (1, -1), (2, 1), (3, -2), (4, 2)) v(step, d)),
+  f AS (SELECT query_id, doc_id, min(rank * 10 + step) AS first_at FROM o JOIN t USING (source, position) GROUP BY query_id, doc_id)
   SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY first_at) AS place FROM f""")
 def neighbor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOI13: hits and what is beside them, each once."""
-    hits = _hybrid(spark, sf_dir).select("query_id", F.lit(0).alias("media_id"), F.col("doc_key").alias("scene_id"), "rank")
-    d = table(spark, sf_dir, "documents").select(F.lit(0).alias("media_id"), F.col("doc_id").alias("scene_id"))
-    ids = d.withColumn("position", F.row_number().over(Window.partitionBy("media_id").orderBy("scene_id")).cast("long"))
-    out = search.expand_neighbours(hits, ids, 2)
+    """JOI13: hits and what is beside them, each once. A source is a medium, its documents the scenes in order of their ids."""
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("media_id"), F.col("doc_id").alias("scene_id"))
+    hits = _hybrid(spark, sf_dir).select("query_id", F.col("doc_key").alias("scene_id"), "rank").join(d, "scene_id")
+    out = search.expand_neighbours(hits, intervals.numbered(d, "media_id", "scene_id", "position"), 2)
     return out.select("query_id", F.col("scene_id").alias("doc_id"), F.col("place").cast("long").alias("place"))
 
 
-@registered(f"""WITH qs AS (SELECT item_id AS query_id, text FROM benchmark), {_BM25.split('dn AS', 1)[0].split('qs AS')[0]} dn AS{_BM25.split('dn AS', 1)[1]},
+@registered(f"""WITH {_bm25_sql("SELECT item_id AS query_id, text FROM benchmark")},
   rel AS (SELECT b.item_id AS query_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
   m AS (SELECT query_id, doc_id, rank FROM kw WHERE rank <= 5),
   c AS (SELECT b.item_id AS query_id, count(DISTINCT r.doc_id) AS n, count(DISTINCT CASE WHEN m.rank IS NOT NULL THEN r.doc_id END) AS hits, min(m.rank) AS first FROM benchmark b LEFT JOIN rel r ON r.query_id = b.item_id LEFT JOIN m ON m.query_id = r.query_id AND m.doc_id = r.doc_id GROUP BY b.item_id),
@@ -337,13 +364,13 @@ def neighbor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT count(*) AS case_count, CAST(count_if(n > 0) AS BIGINT) AS answer_case_count, CAST(count_if(n = 0) AS BIGINT) AS no_answer_case_count, round(coalesce(avg(CASE WHEN n > 0 THEN hits / n END), 0), 9) AS recall_at_k,
     round(coalesce(avg(CASE WHEN n > 0 THEN coalesce(1.0 / first, 0) END), 0), 9) AS mean_reciprocal_rank, round(CASE WHEN count_if(none) = 0 THEN 0 ELSE count_if(none AND n = 0) / count_if(none) END, 9)::DOUBLE AS no_answer_precision, round(CASE WHEN count_if(n = 0) = 0 THEN 0 ELSE count_if(none AND n = 0) / count_if(n = 0) END, 9)::DOUBLE AS no_answer_recall FROM p""")
 def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG14, WIN6, SRC20: every benchmark item is a query; documents that hold its text are relevant."""
+    """AGG14, WIN6: every benchmark item is a query; documents that hold its text are relevant."""
     items = table(spark, sf_dir, "benchmark")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held = docs.join(F.broadcast(items.select("item_id", F.col("text").alias("passage"))), F.contains("text", "passage")).groupBy("item_id").agg(F.collect_set("doc_id").alias("relevant"))
-    cases = items.join(held, "item_id", "left").select(F.col("item_id").alias("case_id"), F.coalesce("relevant", F.array().cast("array<bigint>")).alias("relevant"))
-    hits = _keyword(spark, sf_dir, items.select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))).where("rank <= 5")
-    out = evaluation.report(evaluation.case_results(cases, hits.select(F.col("query_id").alias("case_id"), "doc_key", "rank")))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_key"), "text")
+    cases = items.select(F.col("item_id").alias("case_id"), "text")
+    scorer = _word_scorer(spark, sf_dir, items.select(F.col("item_id").alias("query_id"), F.col("text").alias("query")))
+    hits = search.best_of(scorer, 5, 6).select(F.col("query_id").alias("case_id"), "doc_key", "rank")
+    out = evaluation.report(evaluation.case_results(cases, evaluation.passage_matches(spark, docs, cases), hits))
     return out.select(*(F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes))
 
 

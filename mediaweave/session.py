@@ -25,6 +25,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, which the cluster names in spark.checkpoint.dir. Only a local master, whose
+    executors are the driver's own process, may leave it unset: it gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mediaweave-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return base
+
+
 def build_session(app: str = "mediaweave", master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution, UTC and Arrow; `settings` use underscores for dots."""
     builder = SparkSession.builder.appName(app)

@@ -181,7 +181,7 @@ def index_stage(models: Models):
     def run(t: Tables, config: Mapping) -> Tables:
         """Cards with search texts and vectors. A card without any text gets no vector."""
         cards = t["timeline"].withColumn("doc_key", F.concat_ws("/", F.col("media_id").cast("string"), F.col("scene_id").cast("string")))
-        index = search.index_cards(cards, "doc_key", search.card_text(), udf_normalize=True)
+        index = search.index_cards(cards, "doc_key", search.card_text())
         some = index.where("normalized_text <> ''")
         vectors = model_column(some.select("doc_key", "normalized_text"), "normalized_text", "vector", "array<float>", lambda: models.embed).select("doc_key", "vector")
         return {"index": index.join(cards.select("doc_key", "media_id", "scene_id", "start_sec", "end_sec"), "doc_key").join(vectors, "doc_key", "left")}

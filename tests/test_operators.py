@@ -80,6 +80,83 @@ def test_diacritics_match(spark):
     assert search.bm25(search.postings(index), search.lengths(index), q).count() == 1
 
 
+def test_one_normaliser_serves_cards_and_queries(spark):
+    """Full-width letters and ligatures in a card and in a query meet."""
+    cards = spark.createDataFrame([(1, "  \uff21I\u00b7\uc74c\uc131\n\uac80\ucd9c!!!  \ufb01re"), (2, "other words"), (3, "sunny days")], "k int, t string")
+    q = search.query_terms(spark.createDataFrame([(0, "\uff21\uff29 \ufb01re"), (1, "ai fire")], "query_id int, query string"))
+    index = search.index_cards(cards, "k", F.col("t"))
+    found = {(r.query_id, r.doc_key): r.score for r in search.bm25(search.postings(index), search.lengths(index), q).collect()}
+    assert set(found) == {(0, 1), (1, 1)} and found[0, 1] == found[1, 1] > 1
+
+
+def test_forward_table_gives_the_postings_of_the_cards(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "Caf\u00e9 CAFE caf\u00e9 \ufb01\u00df")], "doc_id long, text string"))
+    index, ahead = search.index_cards(docs, "doc_id", F.col("text")), search.forward(docs, "doc_id", F.col("text"))
+    key = lambda df: sorted(tuple(r) for r in df.select("field", "term", "doc_key", "tf").collect())
+    assert key(search.postings(index)) == key(search.forward_postings(ahead))
+    assert {(r.doc_key, max(0, r.length)) for r in search.lengths(index).collect() if r.doc_key != -1} == {(r.doc_key, r.length) for r in ahead.collect() if r.doc_key != -1}
+
+
+def test_scores_and_places_of_blocks(spark, monkeypatch):
+    """Blocks of any size give the sums of the plain ranking, the best of it, and the places of any candidates."""
+    import random
+
+    monkeypatch.setattr(search, "CARDS", 3)
+    monkeypatch.setattr(search, "QUERIES", 2)
+    r = random.Random(2)
+    texts = [" ".join(r.choice(["red", "fox", "dog", "blue", "sky", "caf\u00e9", "of"]) for _ in range(r.randrange(9))) for _ in range(25)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[3], texts[3]])), "k int, t string")
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate(["red fox", "cafe", "sky of blue", "nothing", ""])], "query_id int, query string")
+    index, terms = search.forward(docs, "k", F.col("t")), search.query_terms(asked)
+    scorer = search.WordScorer(index, search.term_counts(search.forward_postings(index)), terms)
+    plain = search.ranked(search.bm25(search.forward_postings(index), index.select("doc_key", "length"), terms), "score", "rank", 6)
+    want = {(x.query_id, x.doc_key): (round(x.score, 6), x["rank"]) for x in plain.collect()}
+    read = lambda df: {(x.query_id, x.doc_key): (round(x.score, 6), x["rank"]) for x in df.collect()}
+    assert read(search.best_of(scorer, 4, 6)) == {k: v for k, v in want.items() if v[1] <= 4}
+    some = [(q, d) for q in range(5) for d in range(27) if (q + d) % 3 == 0]
+    assert read(search.ranks_of(scorer, spark.createDataFrame(some, "query_id int, doc_key int"), 6)) == {k: v for k, v in want.items() if k in set(some)}
+
+
+def test_hybrid_is_the_fusion_of_whole_rankings(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(search, "RRF", 3)  # so that the cut at RRF + 2 * top_k leaves something out
+    monkeypatch.setattr(search, "CARDS", 4)
+    r = random.Random(4)
+    docs = spark.createDataFrame([(k, " ".join(r.choice(["red", "fox", "dog", "blue", "sky"]) for _ in range(r.randrange(1, 7)))) for k in range(60)], "k int, t string")
+    e = spark.createDataFrame([(k, [r.choice([-1.0, 0.1, 0.5, 1.0]) for _ in range(3)]) for k in range(60)], "doc_key long, vector array<double>")
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate(["red fox", "sky", "zebra"])], "query_id int, query string")
+    index, terms = search.forward(docs, "k", F.col("t")), search.query_terms(asked)
+    words = search.WordScorer(index, search.term_counts(search.forward_postings(index)), terms)
+    vectors = search.VectorScorer(e, e.where("doc_key < 3").withColumnRenamed("doc_key", "query_id"))
+    got = {(x.query_id, x["rank"]): (x.doc_key, round(x.score, 9), x.keyword_rank, x.semantic_rank, tuple(x.reasons)) for x in search.hybrid(words, vectors, 2).collect()}
+    kw = {(x.query_id, x.doc_key): x["rank"] for x in search.best_of(words, 1000, 6).collect()}
+    sem = {(x.query_id, x.doc_key): (x["rank"], round(x.score, 6)) for x in search.best_of(vectors, 1000, 6).collect()}
+    for q in range(3):
+        rows = []
+        for d in range(60):
+            near = (q, d) in sem and sem[q, d][1] >= 0.35
+            score = (1 / (3 + kw[q, d]) if (q, d) in kw else 0) + (1 / (3 + sem[q, d][0]) if near else 0)
+            if score:
+                rows.append((-round(score, 12), d, round(score, 9), kw.get((q, d)), sem[q, d][0], (*(["keyword"] if (q, d) in kw else []), *(["semantic"] if near else []))))
+        for n, x in enumerate(sorted(rows)[:2], 1):
+            assert got[q, n] == x[1:]
+
+
+def test_numbering_over_spans(spark):
+    rows = [(m, k * 3) for m in "ab" for k in range(40 if m == "a" else 7)]
+    out = intervals.numbered(spark.createDataFrame(rows, "m string, k long"), "m", "k", "place", span=10).collect()
+    assert {(x.m, x.k): x.place for x in out} == {(m, k): k // 3 + 1 for m, k in rows}
+
+
+def test_passages_word_for_word(spark):
+    docs = spark.createDataFrame([(1, "x abc y"), (2, "abcd bc"), (3, None), (4, "")], "doc_key int, text string")
+    cases = spark.createDataFrame([("a", "abc"), ("b", "bc"), ("c", "abc"), ("d", ""), ("e", None), ("f", "zz")], "case_id string, text string")
+    got = {(x.case_id, x.doc_key) for x in evaluation.passage_matches(spark, docs, cases).collect()}
+    assert got == {("a", 1), ("c", 1), ("b", 1), ("a", 2), ("c", 2), ("b", 2)}
+    assert evaluation.passage_matches(spark, docs, cases.limit(0)).count() == 0
+
+
 def test_neighbours(spark):
     hits = spark.createDataFrame([(0, 1, 3, 1), (0, 1, 5, 2)], "query_id int, media_id int, scene_id int, rank int")
     line = spark.createDataFrame([(1, i, i - 1) for i in range(1, 6)], "media_id int, scene_id int, position int")
@@ -88,9 +165,10 @@ def test_neighbours(spark):
 
 
 def test_metrics(spark):
-    cases = spark.createDataFrame([("a", [1]), ("b", [2]), ("c", []), ("d", [])], "case_id string, relevant array<int>")
+    cases = spark.createDataFrame([(c,) for c in "abcd"], "case_id string")
+    relevant = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "case_id string, doc_key int")
     hits = spark.createDataFrame([("a", 1, 1), ("b", 9, 1), ("b", 2, 2), ("c", 4, 1)], "case_id string, doc_key int, rank int")
-    r = one(evaluation.report(evaluation.case_results(cases, hits)))
+    r = one(evaluation.report(evaluation.case_results(cases, relevant, hits)))
     assert (r.recall_at_k, r.mean_reciprocal_rank, r.no_answer_precision, r.no_answer_recall) == (1.0, 0.75, 1.0, 0.5)
 
 
@@ -211,12 +289,14 @@ def test_every_fiftieth_vector_is_a_query_against_all(spark, data):
     assert {(r.query_id, r.vec_id, r["rank"]) for r in got} == want and len(got) == len(want)
 
 
-def test_nearest_over_many_blocks_is_the_same(spark):
+def test_nearest_over_many_blocks_is_the_same(spark, monkeypatch):
     import random
 
+    monkeypatch.setattr(search, "CARDS", 1)
+
     r = random.Random(5)
     rows = [(k, [r.choice([-1.0, 0.5, 1.0]) for _ in range(4)]) for k in range(60)]
     e = spark.createDataFrame(rows, "doc_key long, vector array<double>")
     q = e.where("doc_key % 5 = 0").withColumnRenamed("doc_key", "query_id")
     want = {(a, key, rank + 1) for a, v in rows if a % 5 == 0 for rank, (_, key) in enumerate(sorted((-sum(x * y for x, y in zip(v, w, strict=True)), key) for key, w in rows)[:3])}
-    assert {(x.query_id, x.doc_key, x["rank"]) for x in search.nearest(e, q, 3, rows=7).collect()} == want
+    assert {(x.query_id, x.doc_key, x["rank"]) for x in search.nearest(e, q, 3).collect()} == want
