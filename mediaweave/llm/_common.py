@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import gc
-import tempfile
 import time
 import uuid
 from collections.abc import Iterator
@@ -13,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: Bytes and rows of text that the vectorised kernels take at once; they bound a Python worker's memory.
 BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 4096
@@ -22,24 +23,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="mediaweave-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
-    return base
-
-
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive the loss of an executor."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.base = f"{scratch_dir(spark)}/mw-{uuid.uuid4().hex}"
+        self.base = f"{shared_dir(spark)}/mw-{uuid.uuid4().hex}"
         self.count = 0
         atexit.register(self.clear)
 

@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 
 from ._common import Scratch
 
-#: Most winners broadcast, and counters of a partition's summary. A digest with over rows * 2 / COUNTERS copies is never missed.
+#: Most winners broadcast, and counters of the summary. A digest with over rows * 2 / COUNTERS copies is in the summary; of those the
+#: HEAVY most frequent are winners, so a digest left to the shuffle has rows / HEAVY copies at most.
 HEAVY = 256
 COUNTERS = 2048
 
@@ -63,10 +64,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, scratch: Scratch | None =
 def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns.
 
-    Only ids that go are joined, so that texts are not shuffled unless Spark must.
+    A row goes when its own text has a copy with a larger doc_id, so of an id that repeats with several texts each text is judged by
+    itself; rows that repeat the staying id and text all stay, and so do rows with a null doc_id. Null text counts as empty; an empty table stays
+    empty. Only ids and digests of rows that go are joined, so that texts are not shuffled unless Spark must.
     """
-    gone = exact_dedup(spark, docs).where("not kept and doc_id is not null").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = exact_dedup(spark, docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    own = (F.col("doc_id").cast("long") == F.col("_id")) & (F.sha2(normalised(F.col("text")), 256) == F.col("_sha"))
+    return docs.join(gone.distinct(), own, "left_anti").select(*docs.columns)
 
 
 SQL = f"""

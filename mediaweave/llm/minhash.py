@@ -307,6 +307,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that stay, one document of each component, with all their columns."""
+    """The rows of docs that stay, one document of each component, with all their columns.
+
+    The smallest doc_id of a component stays. Documents without words (null, empty or blank text) and rows with a null doc_id all stay.
+    Rows that repeat a doc_id are one document, so they stay or go together; an empty table stays empty.
+    """
     gone = near_duplicates(spark, docs, words, percent).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-A batch's text is cut where no piece of the model can join: before a space that follows something else, and around line feeds. Its
+A batch's text is cut where no piece of the model can join: before a space that follows something else, around line feeds, and, in
+what is still long, between two characters that stand side by side in no piece. Its
 distinct units that are not remembered are laid on end and indexed by a suffix array, ordered as deep as the longest piece. Every
 piece of the vocabulary is looked up by binary search; its range of the array holds all its occurrences. The occurrences
 are edges from a position over some characters; sorted by position, they are relaxed into each unit's segmentation.
@@ -77,6 +78,8 @@ class Pieces:
             self.lookup[ord(c)] = k
         self.feed_cuts = "\n" not in self.code
         self.unit = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if self.feed_cuts else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        #: Neighbours that some piece holds; a long unit is cut between any others.
+        self.pairs = np.unique(np.array([ord(a) << 21 | ord(b) for t in self.joined for a, b in zip(t, t[1:], strict=False)], np.int64))
         codes = np.zeros((len(self.joined), self.words * self.per), np.int64)
         for k, t in enumerate(self.joined):
             codes[k, : len(t)] = [self.code[c] for c in t]
@@ -211,9 +214,16 @@ class Pieces:
             else:
                 into[u] = raw[4 * bounds[k] : 4 * bounds[k + 1]]
 
+    def _parts(self, unit: str) -> list[str]:
+        """A long unit, cut where no piece spans; joins on one side cannot reach the other."""
+        points = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        ends = np.flatnonzero(~np.isin(points[:-1] << 21 | points[1:], self.pairs)) + 1
+        return [unit[a:b] for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(unit)], strict=True)]
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.unit.findall((SPACE if self.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in texts]
+        cut = [[p for u in units for p in (self._parts(u) if len(u) > LONGEST else (u,))] if any(len(u) > LONGEST for u in units) else units for units in cut]
         known = self.known
         missing = {u for units in cut for u in units if u not in known}
         once: dict[str, bytes] = {}

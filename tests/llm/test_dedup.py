@@ -121,3 +121,10 @@ def test_sketches_miss_a_pair_at_the_threshold_once_in_a_million(percent):
     t, n = percent / 100, minhash.BINS
     below = lambda c: sum(math.comb(n, k) * t**k * (1 - t) ** (n - k) for k in range(c))
     assert below(minhash.least_equal(percent)) <= 1e-6 < below(minhash.least_equal(percent) + 1)
+
+
+def test_a_repeated_id_keeps_its_other_text(spark):
+    docs = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "A", "z"), (None, "a", "w"), (3, None, "v"), (4, "", "u")], "doc_id long, text string, text_sha256 string")
+    kept = exact_dedup.drop_copies(spark, docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r) for r in kept.collect()} == {(1, "b", "y"), (2, "A", "z"), (None, "a", "w"), (4, "", "u")}

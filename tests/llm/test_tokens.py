@@ -161,6 +161,28 @@ def test_token_files(spark, tmp_path, block):
     assert sorted(map(tuple, token_counts.count_tokens(spark, str(tmp_path), 2, block=block).collect())) == sorted(want)
 
 
+def test_files_are_read_by_ranges(spark, tmp_path, monkeypatch):
+    """No block carries a whole file, and a store that only Spark reads gives the same rows by the whole file."""
+    r = random.Random(2)
+    data = np.array([r.choice([2, 7, 9, 512]) for _ in range(20_001)], "<u2")
+    (tmp_path / "a.bin").write_bytes(data.tobytes() + b"\x07")  # and half an identifier
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    parts = token_counts._blocks_of(files, 2, 1000).collect()
+    assert sorted(x.block for x in parts) == list(range(21)) and max(len(x.data) for x in parts) == 2000
+    assert b"".join(x.data for x in sorted(parts, key=lambda x: x.block)) == data.tobytes()
+    by_place = sorted(map(tuple, token_counts.count_tokens(spark, str(tmp_path), 2, block=1000).collect()))
+    monkeypatch.setattr(token_counts, "SEEKABLE", ("none",))
+    assert sorted(map(tuple, token_counts.count_tokens(spark, str(tmp_path), 2, block=1000).collect())) == by_place and len(by_place) == (data == 2).sum() + (data[-1] != 2)
+
+
+def test_long_units_are_cut_where_no_piece_spans():
+    model, library = pieces.pieces(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    r = random.Random(3)
+    texts = ["".join(r.choice(letters) for _ in range(3000)) for letters in ("\u65e5\u672c\u8a9e\u3068\u4e2d", "abcxq0", "ab\u00e9Z#", "a")]
+    assert [ids(x) for x in model.encode_batch(texts)] == [library.encode(t) for t in texts]
+    assert max(map(len, model._parts(texts[2]))) < 3000 and "".join(model._parts(texts[2])) == texts[2]
+
+
 def test_written_token_files(spark, tmp_path, odd, empty):
     token_counts.write_token_files(odd, MODEL, 2, str(tmp_path / "t"))
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
