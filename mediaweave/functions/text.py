@@ -143,10 +143,18 @@ def safe_relative_path(path: Column) -> Column:
 
 @dataclass(frozen=True)
 class TokenCounter:
-    """Counts and truncates text by an injected tokenizer: `split` gives tokens whose concatenation is the text."""
+    """Counts and truncates text by an injected tokenizer: `split` gives tokens whose concatenation is the text.
+
+    `additive` says that texts on lines of their own count as their sum, as white space splits them.
+    """
 
     model_name: str = "whitespace"
-    split: Callable[[str], list[str]] = staticmethod(lambda text: re.findall(r"\s*\S+", text))
+    split: Callable[[str], list[str]] | None = None
+    additive: bool | None = None
+
+    def __post_init__(self):
+        object.__setattr__(self, "additive", self.split is None if self.additive is None else self.additive)
+        object.__setattr__(self, "split", self.split or (lambda text: re.findall(r"\s*\S+", text)))
 
     def count(self, text: str) -> int:
         return len(self.split(text))

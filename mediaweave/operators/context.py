@@ -93,7 +93,11 @@ def static_context(cards: DataFrame, media: DataFrame) -> DataFrame:
 def fold_budget(items: list[tuple[int, str, str]], render: Callable[[list[tuple[int, str]]], str], counter: TokenCounter, most: int) -> tuple[list[tuple[int, str]], list[int], list[int]]:
     """Takes items (id, block, compact block) in order: the block if the whole stays in the budget, else as much of the
     compact block as fits, else nothing. Gives what is included, excluded and truncated.
+
+    With an additive counter an item costs what it adds to an empty rendering, so nothing is rendered twice.
     """
+    if counter.additive:
+        return _fold_counts(items, render, counter, most)
     taken: list[tuple[int, str]] = []
     out: list[int] = []
     short: list[int] = []
@@ -119,6 +123,29 @@ def fold_budget(items: list[tuple[int, str, str]], render: Callable[[list[tuple[
     return taken, out, short
 
 
+def _fold_counts(items, render, counter: TokenCounter, most: int):
+    taken: list[tuple[int, str]] = []
+    out: list[int] = []
+    short: list[int] = []
+    base = counter.count(render([]))
+    used = base
+    for key, block, compact in items:
+        cost = counter.count(render([(key, block)])) - base
+        if used + cost <= most:
+            taken.append((key, block))
+            used += cost
+            continue
+        beside = counter.count(render([(key, "")])) - base  # what is shown of an item besides its text
+        cut = counter.truncate(compact, min(most - used - 2, most - used - beside))
+        if cut:
+            taken.append((key, cut))
+            used += beside + counter.count(cut)
+            short.append(key)
+        else:
+            out.append(key)
+    return taken, out, short
+
+
 _STATS = "context string, token_count long, included array<long>, excluded array<long>, truncated array<long>"
 
 

@@ -35,9 +35,9 @@ def overlay_captions(frames: DataFrame, source: DataFrame, selected: DataFrame,
 
 
 def overlay_ocr(frames: DataFrame, source: DataFrame, selected: DataFrame, scenes: DataFrame) -> DataFrame:
-    """OCR results of the overlaid frames; an unselected frame without a source result has none."""
+    """OCR results of the overlaid frames; an unselected frame without a source result, or with one of another file, has none."""
     key = [*SCENE, "keyframe_index"]
-    old = source.join(scenes.select(*SCENE), SCENE, "left_anti").join(frames.select(*key), key, "left_semi")
+    old = source.join(scenes.select(*SCENE), SCENE, "left_anti").join(frames.select(*key, F.col("path").alias("keyframe")), [*key, "keyframe"], "left_semi")
     return selected.join(scenes.select(*SCENE), SCENE, "left_semi").withColumn("provenance", F.lit("selected")).unionByName(old.withColumn("provenance", F.lit("source")))
 
 

@@ -68,35 +68,35 @@ _WINDOWS = f"scenes AS (SELECT i + 1 AS scene_id, i * {SPAN}::DOUBLE AS s, (i +
 def _best(seg: str, interval: str, key: str, order: str, extra: str = "", on: str = "true") -> str:
     """SQL of the interval that each segment belongs to. Both sides have s and e."""
     return f"""pairs AS (SELECT g.{key} AS seg, i.*, least(g.e, i.e) - greatest(g.s, i.s) AS ov, (g.s + g.e) / 2.0 AS mid {extra}
-        FROM {seg} g JOIN {interval} i ON {on} AND least(g.e, i.e) > greatest(g.s, i.s)),
+        FROM {seg} g JOIN {interval} i ON {on} AND g.s < i.e AND i.s < g.e AND g.s < g.e AND i.s < i.e),
       tied AS (SELECT *, max(ov) OVER (PARTITION BY seg) AS most FROM pairs),
       best AS (SELECT * FROM tied WHERE abs(ov - most) <= greatest(1e-9 * greatest(abs(ov), abs(most)), 1e-9)
         QUALIFY row_number() OVER (PARTITION BY seg ORDER BY CASE WHEN mid >= s AND mid < e THEN 0 ELSE 1 END, {order}) = 1)"""
 
 
-@registered(f"""WITH {_TIMED}, {_WINDOWS}, seg AS (SELECT * FROM timed WHERE event_type = 'purchase'), {_best('seg', 'scenes', 'event_id', 'scene_id')}
+@registered(f"""WITH {_TIMED}, {_WINDOWS}, {_best('timed', 'scenes', 'event_id', 'scene_id')}
     SELECT seg AS seg_id, scene_id, round(ov, 6) AS overlap FROM best""")
 def interval_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOI1, JOI2, FIL1, FIL2, MTH1, MTH2: segments to their scenes."""
-    best = intervals.best_overlap(segments(spark, sf_dir, "purchase"), windows(spark), ["media_id"], "seg_id", "scene_id", SPAN)
+    best = intervals.best_overlap(segments(spark, sf_dir), windows(spark), ["media_id"], "seg_id", "scene_id", SPAN)
     return best.select(F.col("s_seg_id").alias("seg_id"), F.col("i_scene_id").alias("scene_id"), F.round("overlap", 6).alias("overlap"))
 
 
-@registered(f"""WITH {_TIMED}, seg AS (SELECT * FROM timed WHERE event_type = 'purchase'), turns AS (SELECT * FROM timed WHERE event_type = 'click'),
+@registered(f"""WITH {_TIMED}, seg AS (SELECT * FROM timed WHERE event_type <> 'click'), turns AS (SELECT * FROM timed WHERE event_type = 'click'),
     {_best('seg', 'turns', 'event_id', 'event_id')}
     SELECT g.event_id AS seg_id, CASE WHEN b.seg IS NULL THEN NULL ELSE 'SPEAKER_0' || CAST(b.user_id % 4 AS VARCHAR) END AS speaker FROM seg g LEFT JOIN best b ON b.seg = g.event_id""")
 def speaker_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOI3: each segment's speaker; turns may overlap."""
+    """JOI3: each segment's speaker; turns may overlap. Clicks are turns, all other events segments."""
     turns = segments(spark, sf_dir, "click").withColumn("speaker", F.concat(F.lit("SPEAKER_0"), (F.col("user_id") % 4).cast("string")))
-    out = intervals.assign(segments(spark, sf_dir, "purchase").drop("user_id"), turns, ["media_id"], "seg_id", "seg_id", ["speaker"], 300.0)
+    out = intervals.assign(segments(spark, sf_dir).join(turns.select("seg_id"), "seg_id", "left_anti").drop("user_id"), turns, ["media_id"], "seg_id", "seg_id", ["speaker"], 300.0)
     return out.select("seg_id", "speaker")
 
 
-@registered(f"""WITH {_TIMED}, {_WINDOWS} SELECT event_id AS seg_id FROM timed t WHERE event_type = 'purchase' AND NOT EXISTS (
+@registered(f"""WITH {_TIMED}, {_WINDOWS} SELECT event_id AS seg_id FROM timed t WHERE NOT EXISTS (
     SELECT 1 FROM scenes i WHERE i.scene_id % 4 <> 0 AND least(t.e, i.e) > greatest(t.s, i.s))""")
 def unassigned_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOI2, STM4: segments that meet no scene are reported."""
-    out = intervals.assign(segments(spark, sf_dir, "purchase"), windows(spark).where("scene_id % 4 <> 0"), ["media_id"], "seg_id", "scene_id", ["scene_id"], SPAN)
+    out = intervals.assign(segments(spark, sf_dir), windows(spark).where("scene_id % 4 <> 0"), ["media_id"], "seg_id", "scene_id", ["scene_id"], SPAN)
     return intervals.unassigned(out, "scene_id").select("seg_id")
 
 
@@ -135,7 +135,7 @@ def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k AS (SELECT scene_id, s, e, CASE WHEN (e - s) / 450 < 8 THEN 1 WHEN (e - s) / 450 < 20 THEN 2 ELSE 3 END AS n FROM c)
     SELECT scene_id, CAST(n AS INTEGER) AS candidate_count, CAST(i AS INTEGER) AS candidate_index, round(s / 450 + (e / 450 - s / 450) / (n + 1) * i, 3) AS timestamp_sec FROM k, range(1, 4) t(i) WHERE i <= n""")
 def adaptive_keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN7, STR8: how many frames a scene has, and where. Scenes run from one event of a user to the next, 450 times as fast."""
+    """WIN7: how many frames a scene has, and where. Scenes run from one event of a user to the next, 450 times as fast."""
     w = Window.partitionBy("user_id").orderBy("start_sec", "event_id")
     x = timed(spark, sf_dir).withColumn("e", F.lead("start_sec").over(w)).where("e is not null")
     x = x.select(F.col("event_id").alias("scene_id"), (F.col("start_sec") / 450).alias("start_sec"), (F.col("e") / 450).alias("end_sec"))
@@ -171,26 +171,16 @@ def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM (SELECT o.label, o.pos, o.vec_id, o.hash, r.kept, list_sort(list_transform(r.kept, lambda k: {{'d': bit_count(xor(o.hash, k.h)), 'id': k.id}}))[1] AS m FROM r JOIN o ON o.label = r.label AND o.pos = r.pos + 1))
     SELECT label, vec_id, retained, d AS hamming_distance, dup AS duplicate_of FROM r""")
 def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN8, WIN11, JOI16, AGG4: frames without near-duplicates, at a distance at which some go."""
+    """WIN8: frames without near-duplicates, at a distance at which some go."""
     out = keyframes.greedy_dedup(_hashed(spark, sf_dir), ["scene_id"], 24)
     return out.select(F.col("scene_id").alias("label"), F.col("candidate_index").alias("vec_id"), "retained", "hamming_distance", "duplicate_of")
 
 
-@registered(f"""WITH {_HASH}, p AS (SELECT label, hash, lag(hash) OVER (PARTITION BY label ORDER BY vec_id) AS before FROM h)
-    SELECT label, count(*) AS candidate_count, CAST(count_if(before IS NULL OR bit_count(xor(hash, before)) > 24) AS BIGINT) AS retained_count, CAST(count_if(before IS NOT NULL AND bit_count(xor(hash, before)) <= 24) AS BIGINT) AS removed_count FROM p GROUP BY label""")
-def dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG4: counts of a decision, here against the frame before alone."""
-    w = Window.partitionBy("scene_id").orderBy("candidate_index")
-    x = _hashed(spark, sf_dir).withColumn("h", numeric.hash_halves(F.col("perceptual_hash")))
-    x = x.withColumn("retained", F.coalesce(numeric.hamming(F.col("h"), F.lag("h").over(w)) > 24, F.lit(True)))
-    return keyframes.dedup_stats(x, ["scene_id"]).withColumnRenamed("scene_id", "label")
-
-
-@registered(f"""WITH {_TIMED}, {_WINDOWS}, f AS (SELECT event_id, s AS tm, CAST(floor(s / {SPAN}) + 1 AS BIGINT) AS scene_id FROM timed WHERE event_type = 'view')
+@registered(f"""WITH {_TIMED}, {_WINDOWS}, f AS (SELECT event_id, s AS tm, CAST(floor(s / {SPAN}) + 1 AS BIGINT) AS scene_id FROM timed)
     SELECT scene_id, event_id FROM f JOIN scenes USING (scene_id) QUALIFY row_number() OVER (PARTITION BY scene_id ORDER BY abs(tm - (s + e) / 2.0), event_id) = 1""")
 def nearest_keyframe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOI7: the frame nearest to a scene's middle."""
-    f = timed(spark, sf_dir, "view").select((F.floor(F.col("start_sec") / SPAN) + 1).alias("scene_id"), F.col("event_id").alias("keyframe_index"), F.col("start_sec").alias("timestamp_sec"))
+    f = timed(spark, sf_dir).select((F.floor(F.col("start_sec") / SPAN) + 1).alias("scene_id"), F.col("event_id").alias("keyframe_index"), F.col("start_sec").alias("timestamp_sec"))
     return keyframes.nearest_frame(windows(spark), f, ["scene_id"]).select("scene_id", F.col("keyframe_index").alias("event_id"))
 
 
@@ -379,7 +369,7 @@ _VTT = "WEBVTT\n\nNOTE a comment\n\nintro\n00:00:00.500 --> 00:00:04.000 align:s
 
 @registered("SELECT * FROM (VALUES (1::INTEGER, 0.5::DOUBLE, 4.0::DOUBLE, 'Hello & welcome'), (2, 4.0, 7.5, 'Second line' || chr(10) || 'of two')) v(cue_index, start_sec, end_sec, text)")
 def vtt_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC7, SRC8, STR5, STR6, FIL9, SRT1: cues of a WebVTT text."""
+    """SRC7, SRC8, STR5, STR6, FIL9: cues of a WebVTT text."""
     files = spark.createDataFrame([(0, "subtitle:2", _VTT)], "media_id int, source_stream_id string, value string")
     return media.webvtt(files).select("cue_index", "start_sec", "end_sec", "text")
 
@@ -395,22 +385,19 @@ def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.strip_markup(F.col("html")).alias("text"))
 
 
-#: Captions of the stand-in: words that are hints, words that only hold one, and none.
-_CAPTIONS = ("Road SIGNS and a menu", "resigned textile", "a slide: Title", "labels", "x text", "screenshots", "two words.")
-_CAPTION = "CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CAPTIONS)) + " ELSE text END"
 _HINT = "CASE " + " ".join(f"WHEN regexp_matches(lower(caption), '(^|[^a-z0-9]){h}s?([^a-z0-9]|$)') THEN '{h}'" for h in visual.HINTS) + " END"
 
 
-@registered(f"WITH c AS (SELECT doc_id, {_CAPTION} AS caption FROM documents) SELECT doc_id, {_HINT} AS hint FROM c WHERE {_HINT} IS NOT NULL")
+@registered(f"WITH c AS (SELECT doc_id, text AS caption FROM documents) SELECT doc_id, {_HINT} AS hint FROM c WHERE {_HINT} IS NOT NULL")
 def caption_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FIL5, JOI14: captions that speak of something to read."""
-    d = table(spark, sf_dir, "documents").select(F.lit(0).alias("media_id"), F.lit(0).alias("scene_id"), F.col("doc_id").alias("keyframe_index"), F.expr(_CAPTION).alias("caption"))
+    d = table(spark, sf_dir, "documents").select(F.lit(0).alias("media_id"), F.lit(0).alias("scene_id"), F.col("doc_id").alias("keyframe_index"), F.col("text").alias("caption"))
     return visual.ocr_candidates(d.drop("caption"), d).select(F.col("keyframe_index").alias("doc_id"), F.col("trigger_hint").alias("hint"))
 
 
 @registered("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN upper(lang) ELSE lang END AS lang, CASE WHEN doc_id % 7 = 0 THEN 'selected' ELSE 'source' END AS provenance FROM documents")
 def overlay_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET1, JOI10, JOI15, FIL8: selected scenes made again, the others kept."""
+    """SET1, JOI15: selected scenes made again, the others kept."""
     source = table(spark, sf_dir, "documents").select(F.lit(0).alias("media_id"), F.col("doc_id").alias("scene_id"), "lang")
     chosen = source.where("scene_id % 7 = 0")
     made = chosen.withColumn("lang", F.upper("lang"))
@@ -419,7 +406,7 @@ def overlay_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT o_orderstatus, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) <= 50")
 def latest_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN12, WIN12b, AGG20, SRC19: the newest of each group (a report of a fixed size)."""
+    """WIN12, WIN12b: the newest of each group (a report of a fixed size)."""
     return overlay.latest(table(spark, sf_dir, "orders"), ["o_orderstatus"], ["o_orderdate", "o_orderkey"], 50).select("o_orderstatus", "o_orderkey")
 
 
@@ -433,7 +420,7 @@ def run_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT doc_id, sha256(concat_ws('|', doc_id::VARCHAR, lang, source, text)) AS fingerprint, strlen(text) AS size_bytes FROM documents")
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSN1, HSH1, HSH2: content fingerprints."""
+    """HSH1: fingerprints of rows."""
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", F.sha2(F.concat_ws("|", F.col("doc_id").cast("string"), "lang", "source", "text"), 256).alias("fingerprint"), F.octet_length("text").cast("long").alias("size_bytes"))
 
@@ -441,7 +428,7 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("""WITH g AS (SELECT user_id AS media_id, count(*) AS segment_count, sum(value) AS speech FROM events WHERE event_type = 'view' GROUP BY user_id), m AS (SELECT user_id AS media_id, sum(value) AS total FROM events GROUP BY user_id)
     SELECT media_id, coalesce(segment_count, 0) AS segment_count, round(coalesce(speech, 0), 3) AS speech_sec, round(CASE WHEN total = 0 THEN 0 ELSE coalesce(speech, 0) / total END, 3) AS speech_ratio FROM m LEFT JOIN g USING (media_id)""")
 def vad_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG7, AGG8: speech time and its share."""
+    """AGG7: speech time and its share."""
     e = table(spark, sf_dir, "events")
     speech = e.where("event_type = 'view'").select(F.col("user_id").alias("media_id"), F.col("value").alias("duration_sec"))
     total = e.groupBy(F.col("user_id").alias("media_id")).agg(F.sum("value").alias("total_sec"))
@@ -480,15 +467,15 @@ def _part(kind: str, text_sql: str) -> str:
     return f"""(WITH {_best(seg, 'sc', 'event_id', 'scene_id', ', g.user_id AS u, g.event_id AS ev, g.props AS pr', 'i.user_id = g.user_id')} SELECT u AS user_id, scene_id, ev, {text_sql} AS t FROM best)"""
 
 
-_CARDS = f"""{_TIMED}, us AS (SELECT DISTINCT user_id FROM events), sc AS (SELECT user_id, CAST(k + 1 AS INTEGER) AS scene_id, k * {_CARD_SPAN}::DOUBLE AS s, (k + 1) * {_CARD_SPAN}::DOUBLE AS e FROM us, range({_CARD_SCENES}) t(k)),
-  tr AS {_part('purchase', "'t' || ev::VARCHAR")}, su AS {_part('view', "json_extract_string(pr, '$.k')")}, au AS {_part('error', "'L' || (ev % 3)::VARCHAR")},
-  tp AS (WITH {_best("(SELECT * FROM timed WHERE event_type = 'purchase')", "(SELECT * FROM timed WHERE event_type = 'click')", 'event_id', 'event_id', '', 'i.user_id = g.user_id')} SELECT seg AS ev, 'S' || (event_id % 3)::VARCHAR AS speaker FROM best),
-  fr AS (SELECT user_id, CAST(floor(s / {_CARD_SPAN}) + 1 AS INTEGER) AS scene_id, event_id AS ev, s AS tm, json_extract_string(props, '$.k') AS t FROM timed WHERE event_type = 'signup'),
-  uniq AS (SELECT kind, user_id, scene_id, string_agg(t, ' | ' ORDER BY ev) AS txt FROM (
+_CARDS = f"""{_TIMED}, us AS (SELECT DISTINCT user_id FROM events), sc AS MATERIALIZED (SELECT user_id, CAST(k + 1 AS INTEGER) AS scene_id, k * {_CARD_SPAN}::DOUBLE AS s, (k + 1) * {_CARD_SPAN}::DOUBLE AS e FROM us, range({_CARD_SCENES}) t(k)),
+  tr AS MATERIALIZED {_part('purchase', "'t' || ev::VARCHAR")}, su AS MATERIALIZED {_part('view', "json_extract_string(pr, '$.k')")}, au AS MATERIALIZED {_part('error', "'L' || (ev % 3)::VARCHAR")},
+  tp AS MATERIALIZED (WITH {_best("(SELECT * FROM timed WHERE event_type = 'purchase')", "(SELECT * FROM timed WHERE event_type = 'click')", 'event_id', 'event_id', '', 'i.user_id = g.user_id')} SELECT seg AS ev, 'S' || (event_id % 3)::VARCHAR AS speaker FROM best),
+  fr AS MATERIALIZED (SELECT user_id, CAST(floor(s / {_CARD_SPAN}) + 1 AS INTEGER) AS scene_id, event_id AS ev, s AS tm, json_extract_string(props, '$.k') AS t FROM timed WHERE event_type = 'signup'),
+  uniq AS MATERIALIZED (SELECT kind, user_id, scene_id, string_agg(t, ' | ' ORDER BY ev) AS txt FROM (
     SELECT kind, user_id, scene_id, t, min(ev) AS ev FROM (SELECT 'su' AS kind, user_id, scene_id, ev, t FROM su UNION ALL SELECT 'au', user_id, scene_id, ev, t FROM au UNION ALL SELECT 'fr', user_id, scene_id, ev, t FROM fr) GROUP BY ALL) GROUP BY ALL),
   sp AS (SELECT user_id, scene_id, count(*) AS n, string_agg(t || '/' || coalesce(speaker, '-'), ',' ORDER BY ev) AS lines FROM tr LEFT JOIN tp USING (ev) GROUP BY ALL),
   nk AS (SELECT user_id, scene_id, 'f' || ev::VARCHAR AS keyframe FROM fr JOIN sc USING (user_id, scene_id) QUALIFY row_number() OVER (PARTITION BY user_id, scene_id ORDER BY abs(tm - (s + e) / 2.0), ev) = 1),
-  cards AS (SELECT sc.user_id AS media_id, sc.scene_id, f.txt AS caption, f.txt AS ocr_text, u.txt AS subtitle_text, a.txt AS audio_event_text, 'Day ' || ((sc.scene_id - 1) // 4 + 1)::VARCHAR AS chapter, nk.keyframe, sp.lines, coalesce(sp.n, 0) AS n_lines
+  cards AS MATERIALIZED (SELECT sc.user_id AS media_id, sc.scene_id, f.txt AS caption, f.txt AS ocr_text, u.txt AS subtitle_text, a.txt AS audio_event_text, 'Day ' || ((sc.scene_id - 1) // 4 + 1)::VARCHAR AS chapter, nk.keyframe, sp.lines, coalesce(sp.n, 0) AS n_lines
     FROM sc LEFT JOIN uniq f ON f.kind = 'fr' AND f.user_id = sc.user_id AND f.scene_id = sc.scene_id LEFT JOIN uniq u ON u.kind = 'su' AND u.user_id = sc.user_id AND u.scene_id = sc.scene_id
     LEFT JOIN uniq a ON a.kind = 'au' AND a.user_id = sc.user_id AND a.scene_id = sc.scene_id LEFT JOIN nk ON nk.user_id = sc.user_id AND nk.scene_id = sc.scene_id LEFT JOIN sp ON sp.user_id = sc.user_id AND sp.scene_id = sc.scene_id)"""
 
@@ -509,18 +496,10 @@ def timeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.timeline_counts(cards).drop("assigned_subtitle_count", "assigned_audio_event_count")
 
 
-@registered()
-def context_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN10, WIN10b, STR10, PRJ2 to PRJ6, SRC16: contexts of all media under a token budget. A sequential fold, beyond SQL."""
-    cards, _ = timeline.scene_cards(_sources(spark, sf_dir), _CARD_SPAN)
-    about = cards.groupBy("media_id").agg(F.max("end_sec").alias("duration_sec"), F.count(F.lit(1)).alias("scene_count")).withColumns({"name": F.format_string("user %d", "media_id"), "speakers": F.array(F.lit("S0"), F.lit("S1"), F.lit("S2"))})
-    return context.budget_context(cards, about, 512).select("media_id", "context", "token_count", F.size("included").alias("included"), F.size("excluded").alias("excluded"), F.size("truncated").alias("truncated"))
-
-
 @registered("""WITH c AS (SELECT conv_id, turn, role || ': ' || text AS line FROM conversations)
     SELECT conv_id, md5(string_agg(line, chr(10) ORDER BY turn, line)) AS card_md5, CAST(sum(length(line)) + count(*) - 1 AS BIGINT) AS chars FROM c GROUP BY conv_id""")
 def conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PRJ2, PRJ8, AGG21: lines of a card in order."""
+    """AGG1: lines of a conversation in order."""
     c = table(spark, sf_dir, "conversations").withColumn("line", F.concat_ws(": ", "role", "text"))
     out = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda x: x["line"]), "\n").alias("card"))
     return out.select("conv_id", F.md5(F.col("card").cast("binary")).alias("card_md5"), F.length("card").cast("long").alias("chars"))
@@ -528,7 +507,7 @@ def conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC11, SRC14: fields of JSON by a fixed schema."""
+    """SRC11: fields of JSON by a fixed schema."""
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long", {"mode": "FAILFAST"})["k"].alias("k"))
 
 
@@ -537,7 +516,7 @@ _EDGES = ", ".join(f"('{s.name}', '{a}')" for s in DEFAULT_STAGES for a in s.aft
 
 @registered(f"WITH RECURSIVE edges(stage, after) AS (VALUES {_EDGES}), r AS (SELECT stage, after AS ancestor FROM edges UNION SELECT r.stage, e.after FROM r JOIN edges e ON e.stage = r.ancestor) SELECT stage, ancestor FROM r")
 def stage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET2, SET5, SET6, SRT6, CTL1, CTL2: what each stage follows, at any distance."""
+    """SET5, SRT6, CTL1, CTL2: what each stage follows, at any distance."""
     from .plans.stages import Planner, StageRegistry
 
     p = Planner(StageRegistry(DEFAULT_STAGES))
@@ -588,7 +567,7 @@ def retry_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""WITH {_TIMED} SELECT event_id, CAST(trunc(s * 16000) AS BIGINT) AS stt_start, CAST(round_even(s * 16000, 0) AS BIGINT) AS event_start FROM timed""")
 def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MTH9, MTH10, MTH11: seconds to samples, cut and rounded."""
+    """MTH9: seconds to samples, cut and rounded."""
     x = timed(spark, sf_dir)
     a, _ = numeric.stt_samples(F.col("start_sec"), F.col("end_sec"))
     b, _, _ = numeric.event_samples(F.col("start_sec"), F.col("end_sec"), F.lit(1 << 40).cast("long"))
@@ -597,7 +576,7 @@ def sample_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT user_id AS media_id, event_id, CAST((row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 8 AS BIGINT) AS batch FROM events")
 def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN13, AGG16: ordered batches of bounded size."""
+    """WIN13: ordered batches of bounded size."""
     e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "media_id")
     return audio.batches(e, ["media_id"], ["ts", "event_id"], 32, 8).select("media_id", "event_id", "batch")
 
@@ -611,7 +590,7 @@ def distinct_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT source, count(*) AS caption_count, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM documents GROUP BY source")
 def caption_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG3, AGG18, D14: captions of a scene in order."""
+    """AGG3, D14: captions of a scene in order."""
     d = table(spark, sf_dir, "documents").select(F.lit(0).alias("media_id"), F.col("source").alias("scene_id"), F.col("doc_id").alias("keyframe_index"), F.lit(0.0).alias("timestamp_sec"), F.lit("").alias("keyframe"), "lang").withColumnRenamed("lang", "caption")
     out = visual.caption_groups(d)
     return out.select(F.col("scene_id").alias("source"), "caption_count", F.array_join(F.transform("captions", lambda c: c["keyframe_index"].cast("string")), ",").alias("ids"))
@@ -619,7 +598,7 @@ def caption_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""WITH p(stage, planned) AS (SELECT o_orderstatus, count(*) FROM orders GROUP BY 1) SELECT o_orderpriority AS run_id, count_if(o_orderstatus = 'F') / count(*) AS progress_ratio FROM orders GROUP BY 1""")
 def progress_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG19, AGG20, STM6: the share of planned stages that are done."""
+    """AGG19, AGG20: the share of planned stages that are done."""
     from .sources.stores import progress
 
     o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("run_id"), F.col("o_orderkey").alias("stage"), F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("failed").alias("status"), F.lit(1).alias("attempt"), F.col("o_orderdate").cast("string").alias("recorded_at"))
@@ -674,7 +653,7 @@ def _words(spark: SparkSession) -> DataFrame:
 
 @registered("SELECT 'a' AS image_id, 'Hello world' || chr(10) || 'again' AS text, 3::INTEGER AS n_regions, 0.955::DOUBLE AS best")
 def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC10, FIL4, FIL14, AGG17, UDF3: words and text of an OCR table."""
+    """SRC10, FIL4, UDF3: words and text of an OCR table."""
     out = visual.ocr_text(visual.ocr_words(_words(spark), 0.5))
     return out.select("image_id", "text", F.size("regions").alias("n_regions"), F.array_max(F.transform("regions", lambda r: r["confidence"])).alias("best"))
 
@@ -692,3 +671,6 @@ def order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("user_id").orderBy("start_sec", "event_id"))
     x = timed(spark, sf_dir).withColumn("segment_id", place).withColumnRenamed("user_id", "media_id")
     return intervals.order_violations(x, ["media_id"], "segment_id").groupBy("media_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+from . import operator_queries  # noqa: E402, F401  registers the others

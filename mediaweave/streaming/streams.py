@@ -75,3 +75,14 @@ def progress(log: DataFrame, planned: int) -> DataFrame:
 def drain(df: DataFrame, name: str, mode: str = "complete") -> StreamingQuery:
     """Runs a stream over what is there into an in-memory table; for tests and small looks."""
     return df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+
+
+def settled(df: DataFrame, path: str, mode: str = "complete") -> DataFrame:
+    """Runs a stream over what is there into a Parquet table and reads it back. In complete mode each batch replaces the table."""
+    spark = df.sparkSession
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/{'all' if mode == 'complete' else f'batch={number}'}")
+
+    df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{path}/rows/*")
