@@ -75,6 +75,13 @@ def ocr_text(words: DataFrame) -> DataFrame:
     return text.join(regions, "image_id")
 
 
+def confident(results: DataFrame, least: float) -> DataFrame:
+    """Results without the regions under a confidence, numbered again; the text of a result that lost some is that of the others, in order."""
+    kept = F.filter("regions", lambda r: r["confidence"] >= least)
+    text = F.when(F.size(kept) < F.size("regions"), F.array_join(F.transform(kept, lambda r: r["text"]), " ")).otherwise(F.col("text"))
+    return results.withColumns({"text": text, "regions": F.transform(kept, lambda r, i: r.withField("region_id", (i + 1).cast("int")))})
+
+
 def region_faults(results: DataFrame) -> DataFrame:
     """Images with a region that breaks the contract: ids from 1 in order, text, confidence 0..1, a box inside the image.
 

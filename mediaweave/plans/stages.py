@@ -141,5 +141,7 @@ DEFAULT_STAGES = (
     StageSpec("10_index", "1.0.0", ("09_timeline",), ("timeline",), ("index",), models=("embedding",)),
     StageSpec("11_context", "1.0.0", ("01_probe", "07_diarize", "09_timeline"), ("metadata", "speaker_turns", "timeline"), ("context",)),
 )
+#: What stages of selected scenes read besides: the selection, and the results they lay theirs over.
+OVERLAID = {"03_keyframes": ("selected_scenes", "source_keyframes"), "08_captions": ("selected_scenes", "source_captions"), "08_ocr": ("selected_scenes", "source_ocr")}
 #: Stages that are run again for selected scenes.
-DERIVED_STAGES = tuple(StageSpec(s.name, s.version, tuple(a for a in s.after if a in {"03_keyframes", "08_captions", "08_ocr", "09_timeline"}), s.inputs, s.outputs, models=s.models) for s in DEFAULT_STAGES if s.name in {"03_keyframes", "08_captions", "08_ocr", "09_timeline", "10_index", "11_context"})
+DERIVED_STAGES = tuple(StageSpec(s.name, s.version, tuple(a for a in s.after if a in {"03_keyframes", "08_captions", "08_ocr", "09_timeline"}), s.inputs, s.outputs, OVERLAID.get(s.name, ()), s.models) for s in DEFAULT_STAGES if s.name in {"03_keyframes", "08_captions", "08_ocr", "09_timeline", "10_index", "11_context"})

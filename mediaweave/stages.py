@@ -2,7 +2,10 @@
 
 Each function takes (tables, config) and gives its output tables; `functions(models)` binds them for the engine. Decoding media is
 outside: `video` is a table of probe results and frame scores (media_id, name, json, fps, frame_count, scores), and models
-are callables on batches. A stage that has nothing to do gives empty tables and a row in `status` with a stable reason.
+are callables on batches. A stage that has nothing to do gives empty tables; `skips` says why, with a stable reason for each medium.
+
+03_keyframes, 08_captions and 08_ocr run for some scenes alone where the tables hold `selected_scenes` (media_id, scene_id): they work on
+those and lay their results over `source_keyframes`, `source_captions` and `source_ocr` of an earlier run.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .functions.gateway import hashed_embedding, model_column
 from .functions.text import TokenCounter
-from .operators import audio, context, intervals, keyframes, search, timeline, visual
+from .operators import audio, context, intervals, keyframes, overlay, search, timeline, visual
 from .sources import media
 
 Tables = dict[str, DataFrame]
@@ -64,14 +67,37 @@ def scenes(t: Tables, config: Mapping) -> Tables:
     return {"scenes": media.scene_boundaries(frames, about, config.get("threshold", 27.0), config.get("min_frames", 15)), "scene_stats": frames}
 
 
+SCENE = [*MEDIA, "scene_id"]
+
+
+def chosen(t: Tables, known: DataFrame) -> DataFrame | None:
+    """The scenes that are made again, or none where all are; an error if one repeats or is unknown."""
+    return overlay.selected_scenes(t["selected_scenes"], known.select(*SCENE).distinct()) if "selected_scenes" in t else None
+
+
+def decided_frames(models: Models, scenes_: DataFrame, config: Mapping) -> DataFrame:
+    """Candidate frames of scenes with their hashes, and which stay."""
+    found = keyframes.candidates(scenes_, config.get("max_keyframes_per_scene", 3))
+    hashed = model_column(found.withColumn("frame", F.struct("media_id", "scene_id", "timestamp_sec")), "frame", "perceptual_hash", "string", lambda: models.hash).drop("frame")
+    return keyframes.greedy_dedup(hashed, SCENE, config.get("distance", keyframes.MAX_DISTANCE))
+
+
+def keyframe_report(models: Models, t: Tables, config: Mapping) -> Tables:
+    """Counts of candidates, kept and removed frames of each scene, and the removed frames beside those they repeat."""
+    decided = decided_frames(models, t["scenes"], config)
+    return {"stats": keyframes.dedup_stats(decided, SCENE), "removed": keyframes.removed_frames(decided, SCENE)}
+
+
 def keyframe_stage(models: Models):
+    columns = [*SCENE, "keyframe_index", "keyframe_count", "timestamp_sec", "path", "perceptual_hash"]
+
     def run(t: Tables, config: Mapping) -> Tables:
-        found = keyframes.candidates(t["scenes"], config.get("max_keyframes_per_scene", 3))
-        key = [*MEDIA, "scene_id"]
-        hashed = model_column(found.withColumn("frame", F.struct("media_id", "scene_id", "timestamp_sec")), "frame", "perceptual_hash", "string", lambda: models.hash).drop("frame")
-        decided = keyframes.greedy_dedup(hashed, key, config.get("distance", keyframes.MAX_DISTANCE))
-        kept = keyframes.retained_frames(decided, key)
-        return {"keyframes": kept.select(*key, "keyframe_index", "keyframe_count", "timestamp_sec", "path", "perceptual_hash"), "keyframe_images": kept.select(*key, "path")}
+        again = chosen(t, t["scenes"])
+        mine = t["scenes"] if again is None else t["scenes"].join(again, SCENE, "left_semi")
+        kept = keyframes.retained_frames(decided_frames(models, mine, config), SCENE).select(*columns)
+        if again is not None:
+            kept = overlay.overlay(t["source_keyframes"].select(*columns), kept, again)
+        return {"keyframes": kept, "keyframe_images": kept.select(*SCENE, "path")}
 
     return run
 
@@ -127,7 +153,8 @@ def diarize(models: Models):
 
 def audio_event_stage(models: Models):
     def run(t: Tables, config: Mapping) -> Tables:
-        w = intervals.sliding_windows(t["audio"], "total_sec", config.get("window_sec", 5.0), config.get("hop_sec", 2.5))
+        have = t["audio"] if config.get("enabled", True) else t["audio"].limit(0)
+        w = intervals.sliding_windows(have, "total_sec", config.get("window_sec", 5.0), config.get("hop_sec", 2.5))
         asked = w.withColumn("window", F.struct("media_id", "window_id", "start_sec", "end_sec"))
         told = model_column(asked, "window", "labels", "array<struct<label:string,confidence:double>>", lambda: lambda x: [[{"label": n, "confidence": c} for n, c in y] for y in models.audio_event(x)])
         return {"audio_events": audio.audio_events(told.select("media_id", "window_id", "start_sec", "end_sec", F.inline("labels")), config.get("min_confidence", 0.5))}
@@ -136,24 +163,43 @@ def audio_event_stage(models: Models):
 
 
 def captions(models: Models):
+    columns = [*SCENE, "keyframe_index", "keyframe_count", "timestamp_sec"]
+
     def run(t: Tables, config: Mapping) -> Tables:
-        told = visual.valid_captions(model_column(t["keyframes"], "path", "caption", "string", lambda: models.caption))
+        frames = t["keyframes"].select(*columns, "path")
+        again = chosen(t, frames)
+        told = visual.valid_captions(model_column(frames if again is None else frames.join(again, SCENE, "left_semi"), "path", "caption", "string", lambda: models.caption))
         good = F.when(F.col("valid"), F.col("caption")).otherwise(F.raise_error(F.lit("a caption must have text")).cast("string"))
-        return {"captions": told.select("media_id", "scene_id", "keyframe_index", "keyframe_count", "timestamp_sec", F.col("path").alias("keyframe"), good.alias("caption"))}
+        made = told.select(*columns, F.col("path").alias("keyframe"), good.alias("caption"))
+        if again is not None:
+            made = overlay.overlay_captions(frames, t["source_captions"], made, again).drop("path")
+        return {"captions": made}
 
     return run
 
 
 def ocr(models: Models):
-    answer = "struct<text:string,image_width:int,image_height:int,regions:array<struct<region_id:int,text:string,confidence:double,bbox:struct<x:int,y:int,width:int,height:int>>>>"
+    region = "struct<region_id:int,text:string,confidence:double,bbox:struct<x:int,y:int,width:int,height:int>>"
+    answer = f"struct<text:string,image_width:int,image_height:int,regions:array<{region}>>"
+    columns = [*SCENE, "keyframe_index", "keyframe_count", "timestamp_sec"]
 
     def run(t: Tables, config: Mapping) -> Tables:
-        mode = config.get("mode", "caption-hint")
-        wanted = visual.ocr_candidates(t["keyframes"], t["captions"]) if mode == "caption-hint" else t["keyframes"].withColumn("trigger_hint", F.lit(None).cast("string"))
+        mode = config.get("mode", "caption-hints")
+        frames = t["keyframes"].select(*columns, "path")
+        again = chosen(t, frames)
+        if again is not None and mode != "all":
+            raise ValueError("selected scenes need the mode all")
+        if mode == "caption-hints":
+            wanted = visual.ocr_candidates(frames, t["captions"])
+        else:
+            wanted = (frames if again is None else frames.join(again, SCENE, "left_semi")).withColumn("trigger_hint", F.lit(None).cast("string"))
         if mode == "disabled":
             wanted = wanted.limit(0)
-        told = model_column(wanted, "path", "read", answer, lambda: models.ocr)
-        return {"ocr": told.select("media_id", "scene_id", "keyframe_index", "keyframe_count", "timestamp_sec", F.col("path").alias("keyframe"), "read.text", "read.image_width", "read.image_height", "read.regions", "trigger_hint")}
+        told = visual.confident(model_column(wanted, "path", "read", answer, lambda: models.ocr).select(*columns, "path", "trigger_hint", "read.*"), config.get("min_confidence", 0.0))
+        made = told.select(*columns, F.col("path").alias("keyframe"), "text", "image_width", "image_height", "regions", "trigger_hint")
+        if again is not None:
+            made = overlay.overlay_ocr(frames, t["source_ocr"].select(*made.columns), made, again)
+        return {"ocr": made}
 
     return run
 
@@ -198,6 +244,35 @@ def context_stage(t: Tables, config: Mapping) -> Tables:
     return {"context": context.budget_context(cards, about, most, TokenCounter()) if most else context.static_context(cards, about)}
 
 
+def skips(name: str, t: Tables, config: Mapping | None = None) -> DataFrame:
+    """media_id, executed and reason: for which media a stage had nothing to do. t: the run's tables, the stage's own among them."""
+    every, config = t["metadata"], config or {}
+    if name == "04_audio":
+        return t["audio_metadata"]
+    if name == "04_embedded_text":
+        out = status(t["embedded_text"], every, "NO_EMBEDDED_TEXT")
+        other = media.subtitle_streams(t["video"].select("media_id", "json")).select(*MEDIA).distinct().withColumn("_other", F.lit(True))
+        reason = F.when(F.col("_other") & ~F.col("executed"), F.lit("NO_EXTRACTABLE_EMBEDDED_TEXT")).otherwise(F.col("reason"))
+        return out.join(other, MEDIA, "left").withColumn("reason", reason).drop("_other")
+    if name in ("05_audio_events", "05_vad", "06_stt", "07_diarize"):
+        if name == "05_audio_events" and config.get("enabled", True) is False:
+            return status(every.limit(0), every, "AUDIO_EVENTS_DISABLED")
+        out = status(t["audio"], every, "NO_AUDIO")
+        if name != "06_stt":
+            return out
+        spoken = t["speech_segments"].select(*MEDIA).distinct().withColumn("_spoken", F.lit(True))
+        silent = F.col("executed") & F.col("_spoken").isNull()
+        return out.join(spoken, MEDIA, "left").withColumns({"reason": F.when(silent, F.lit("NO_SPEECH")).otherwise(F.col("reason")), "executed": F.col("executed") & ~silent}).drop("_spoken")
+    if name == "08_ocr":
+        if config.get("mode") == "disabled":
+            return status(every.limit(0), every, "OCR_DISABLED")
+        out = status(t["keyframes"], every, "NO_KEYFRAMES")
+        read = t["ocr"].select(*MEDIA).distinct().withColumn("_read", F.lit(True))
+        none = F.col("executed") & F.col("_read").isNull()
+        return out.join(read, MEDIA, "left").withColumns({"reason": F.when(none, F.lit("NO_OCR_CANDIDATES")).otherwise(F.col("reason")), "executed": F.col("executed") & ~none}).drop("_read")
+    return every.select(*MEDIA).withColumns({"executed": F.lit(True), "reason": F.lit(None).cast("string")})
+
+
 def functions(models: Models | None = None) -> dict[str, Callable[[Tables, Mapping], Tables]]:
     m = models or Models()
     return {
