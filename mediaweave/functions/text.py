@@ -114,6 +114,12 @@ def plain_text_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(lambda t: None if t is None else plain_text(t.split("\n")))
 
 
+def instant(text: Column) -> Column:
+    """The instant of an ISO 8601 time that names its offset from UTC; any other text is an error, null stays null."""
+    good = text.rlike(r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(:\d\d([.,]\d{1,6})?)?(Z|[+-]\d\d:?\d\d(:\d\d)?)$")
+    return F.when(good, F.replace(text, F.lit(","), F.lit(".")).cast("timestamp")).otherwise(F.when(text.isNotNull(), F.raise_error(F.lit("a time must be ISO 8601 with its offset from UTC")).cast("timestamp")))
+
+
 def frame_name(scene: Column, index: Column, count: Column) -> Column:
     return F.when(count == 1, F.format_string("scene_%03d.jpg", scene)).otherwise(F.format_string("scene_%03d_%02d.jpg", scene, index))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .functions import numeric
+from .functions import numeric, text
 from .operators import audio, context, evaluation, keyframes, overlay, search, timeline, visual
 from .plans import reprocessing
 from .queries import _CARD_SPAN, _CARDS, _TIMED, ORACLE_SQL, _bm25_sql, _hashed, _sources, registered, search_index, table, timed
@@ -347,3 +347,17 @@ def newest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN12b: the newest rows of each group (a report of a fixed size)."""
     e = overlay.latest(table(spark, sf_dir, "embeddings").select("vec_id", "label"), ["label"], ["vec_id"], 3)
     return e.groupBy("label").agg(F.array_join(F.transform(F.sort_array(F.collect_list("vec_id")), lambda x: x.cast("string")), ",").alias("newest"))
+
+
+@registered("SELECT event_id, CAST(epoch_us(ts) AS BIGINT) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events")
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DAT1: ISO 8601 times of several offsets as instants, and their order."""
+    e = timed(spark, sf_dir)
+    us = F.round(F.col("start_sec") * 1_000_000).cast("long") + 1_704_067_200_000_000
+    hours = F.col("event_id") % 5 - 2
+    local = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_micros(us + hours * 3_600_000_000).cast("timestamp_ntz"))
+    offset = F.when(hours == 0, F.lit("Z")).otherwise(F.concat(F.when(hours < 0, F.lit("-")).otherwise(F.lit("+")), F.format_string("%02d:00", F.abs(hours))))
+    at = text.instant(F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), offset))
+    x = e.select("event_id", "user_id", at.alias("at"))
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("at", "event_id")).cast("long")
+    return x.select("event_id", F.unix_micros("at").alias("us"), place.alias("place"))

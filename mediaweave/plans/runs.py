@@ -9,7 +9,6 @@ from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .cache import fingerprint
 from .engine import CancellationToken, RunResult, now
@@ -104,8 +103,31 @@ class RunService:
         return {k: run[k] for k in ("run_id", "status", "created_at", "updated_at", "completed_at", "failure", "progress_ratio")}
 
 
+class Submissions:
+    """Stage tasks submitted once: the same key and task give the same handle; the same key with another task, or an attempt
+    submitted twice under other keys, is a conflict."""
+
+    def __init__(self, start: Callable[[object], Future]):
+        self.start, self.lock = start, threading.Lock()
+        self.by_key: dict[str, tuple[object, tuple[str, int], Future]] = {}
+
+    def submit(self, key: str, task: object, stage_run: str, attempt: int = 1) -> Future:
+        with self.lock:
+            if key in self.by_key:
+                known, _, handle = self.by_key[key]
+                if known != task:
+                    raise ConflictError("the key belongs to another task")
+                return handle
+            if any(a == (stage_run, attempt) for _, a, _ in self.by_key.values()):
+                raise ConflictError("the attempt was submitted before")
+            handle = self.start(task)
+            self.by_key[key] = (task, (stage_run, attempt), handle)
+            return handle
+
+
 def newest_terminal(runs: DataFrame, keep: int) -> DataFrame:
     """Active runs, and the newest `keep` of those that ended, by time and id. The same rule as a table operation."""
     ended = ~F.col("status").isin(*ACTIVE)
-    rank = F.row_number().over(Window.partitionBy(ended).orderBy(F.coalesce("completed_at", "updated_at").desc(), F.col("run_id").desc()))
-    return runs.withColumn("_rank", rank).where(~ended | (F.col("_rank") <= keep)).drop("_rank")
+    # a top-N is taken by each task before it meets the others, so no task sorts all ended runs
+    newest = runs.where(ended).orderBy(F.coalesce("completed_at", "updated_at").desc(), F.col("run_id").desc()).limit(keep)
+    return runs.where(~ended).unionByName(newest)
