@@ -18,10 +18,18 @@ from pyspark.sql.functions import pandas_udf
 MAX_QUERY_GRAMS = 128
 
 
+#: Runs of letters and numbers: the characters of the Unicode categories L and N, and no others.
+_WORD = re.compile(r"[^\W_]+")
+
+
+def normal_words(value: str) -> list[str]:
+    """NFKC, case folding, and the runs of letters and numbers that remain."""
+    return _WORD.findall(value.lower() if value.isascii() else unicodedata.normalize("NFKC", value).casefold())
+
+
 def normalize_text(value: str) -> str:
     """NFKC, case folding, one space for every run of characters other than letters and numbers."""
-    folded = unicodedata.normalize("NFKC", value).casefold()
-    return " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in folded).split())
+    return " ".join(normal_words(value))
 
 
 @pandas_udf(T.StringType())
@@ -53,8 +61,8 @@ def word_grams(word: Column, least: int = 2, most: int = 3) -> Column:
 
 
 def character_ngrams(text: Column, least: int = 2, most: int = 3) -> Column:
-    """Distinct grams inside words of normalised text, in order of first appearance."""
-    return F.array_distinct(F.flatten(F.transform(words(text), lambda w: word_grams(w, least, most))))
+    """Distinct grams inside words of normalised text, in order of first appearance. A word that comes again has no new ones."""
+    return F.array_distinct(F.flatten(F.transform(F.array_distinct(words(text)), lambda w: word_grams(w, least, most))))
 
 
 def search_terms(text: Column) -> tuple[Column, Column]:

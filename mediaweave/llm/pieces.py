@@ -223,7 +223,7 @@ class Pieces:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.unit.findall((SPACE if self.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in texts]
-        cut = [[p for u in units for p in (self._parts(u) if len(u) > LONGEST else (u,))] if any(len(u) > LONGEST for u in units) else units for units in cut]
+        cut = [[p for u in units for p in (self._parts(u) if len(u) > LONGEST else (u,))] if units and max(map(len, units)) > LONGEST else units for units in cut]
         known = self.known
         missing = {u for units in cut for u in units if u not in known}
         once: dict[str, bytes] = {}

@@ -164,7 +164,7 @@ def reprocessing_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT query_id, doc_id, rank, round(score, 4) AS score FROM kw WHERE rank <= 10""")
 def one_field_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN4b: ranking of an index without grams, by words alone; benchmark items are queries, which read the postings of their terms."""
-    index = search_index(spark, sf_dir)
+    index = search_index(spark, sf_dir, postings=True)
     terms = search.query_terms(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query")))
     top = search.ranked(search.bm25(index["postings"], index["lengths"], terms, one_field=True), "score", "rank", 6).where("rank <= 10")
     return top.select("query_id", F.col("doc_key").alias("doc_id"), "rank", F.round("score", 4).alias("score"))

@@ -17,7 +17,7 @@ from .functions import numeric, text
 from .operators import audio, context, evaluation, intervals, keyframes, overlay, search, timeline, visual
 from .plans.runs import newest_terminal
 from .plans.stages import DEFAULT_STAGES
-from .session import shared_dir
+from .session import shared_dir, spread
 from .sources import media, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,8 @@ def registered(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, "doc_id") if name == "documents" else df
 
 
 #: Windows of 15 minutes in January 2024.
@@ -251,14 +252,18 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 _indexes: dict[tuple[str, str], str] = {}
 
 
-def search_index(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The stored index of all documents and vectors, written once for each application and folder of tables."""
+def search_index(spark: SparkSession, sf_dir: str, postings: bool = False) -> dict[str, DataFrame]:
+    """The stored index of all documents and vectors, written once for each application and folder of tables; postings when first asked for."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _indexes:
         path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
-        stores.build_index(spark, path, table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id", F.col("text"), _vectors(spark, sf_dir), {"schema_version": "2"})
+        stores.build_index(spark, path, table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id", F.col("text"), _vectors(spark, sf_dir), {"schema_version": "2"}, with_postings=False)
         _indexes[key] = path
-    return stores.read_index(spark, _indexes[key])
+    index = stores.read_index(spark, _indexes[key])
+    if postings and "postings" not in index:
+        stores.add_postings(spark, _indexes[key])
+        index = stores.read_index(spark, _indexes[key])
+    return index
 
 
 def _word_scorer(spark: SparkSession, sf_dir: str, queries: DataFrame) -> search.WordScorer:
@@ -284,7 +289,7 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked AS (SELECT DISTINCT field, term FROM terms) SELECT field, count(*) AS n_terms, CAST(sum(df) AS BIGINT) AS n_postings FROM df JOIN asked USING (field, term) GROUP BY field""")
 def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC13, STR2, STR3: postings of the queries' terms, read from the stored index by term."""
-    index = search_index(spark, sf_dir)
+    index = search_index(spark, sf_dir, postings=True)
     asked = index["scene_cards"].where("doc_key % 50 = 0").select(F.col("doc_key").alias("query_id"), F.col("text").alias("query"))
     terms = search.query_terms(asked).select("field", "term").distinct()
     found = search.term_counts(index["postings"].join(terms, ["field", "term"], "left_semi"))

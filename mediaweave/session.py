@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -37,6 +37,17 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+#: Stored bytes under which a table may lie in fewer files than there are cores.
+SMALL = 1 << 30
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows of a small table of few files over all cores, by a key; any other table as it is. A file of one row group is one task's."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < SMALL and len(df.inputFiles()) < cores else df
+
+
 def build_session(app: str = "mediaweave", master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution, UTC and Arrow; `settings` use underscores for dots."""
     builder = SparkSession.builder.appName(app)
