@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, spread
 
 #: Bytes and rows of text that the vectorised kernels take at once; they bound a Python worker's memory.
 BLOCK_BYTES = 2 << 20
@@ -20,7 +20,7 @@ BLOCK_ROWS = 4096
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
 
 
 class Scratch:

@@ -68,9 +68,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     itself; rows that repeat the staying id and text all stay, and so do rows with a null doc_id. Null text counts as empty; an empty table stays
     empty. Only ids and digests of rows that go are joined, so that texts are not shuffled unless Spark must.
     """
-    gone = exact_dedup(spark, docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    own = (F.col("doc_id").cast("long") == F.col("_id")) & (F.sha2(normalised(F.col("text")), 256) == F.col("_sha"))
-    return docs.join(gone.distinct(), own, "left_anti").select(*docs.columns)
+    gone = exact_dedup(spark, docs).where("not kept and doc_id is not null")
+    gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("text_sha256").alias("_shas"))  # an id's texts; digests are made of rows with such an id alone
+    own = (F.col("doc_id").cast("long") == F.col("_id")) & F.array_contains("_shas", F.sha2(normalised(F.col("text")), 256))
+    return docs.join(gone, own, "left_anti").select(*docs.columns)
 
 
 SQL = f"""
