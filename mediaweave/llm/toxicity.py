@@ -137,34 +137,45 @@ def fit(train: DataFrame, rounds: int = 300, ridge: float = 1.0) -> Model:
     keep[np.argsort(-clear, kind="stable")[:KEPT]] = True
     keep &= clear > CLEAR
 
+    kept = np.flatnonzero(keep)  # KEPT at most, so a place among them has 16 bits
+    place = np.zeros(BUCKETS, "<u2")
+    place[kept] = np.arange(len(kept))
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, size=SPAN):
             of, bucket = gram_buckets(*text_bytes(block.column(1)), keep)
             ends = np.searchsorted(of, np.arange(block.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(block.column(2).to_pylist(), pa.int64()), block.column(3), pa.array([bucket[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in range(block.num_rows)], pa.binary())], ["doc_id", "toxic", "weight", "buckets"])
+            at = place[bucket]
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(block.column(2).to_pylist(), pa.int64()), block.column(3), pa.array([at[ends[i] : ends[i + 1]].tobytes() for i in range(block.num_rows)], pa.binary())], ["doc_id", "toxic", "weight", "places"])
 
-    rows = sorted(few.mapInArrow(features, "doc_id long, toxic long, weight double, buckets binary").collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows of KEPT buckets at most
+    rows = sorted(few.mapInArrow(features, "doc_id long, toxic long, weight double, places binary").collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows of KEPT places at most
     y = np.array([r["toxic"] for r in rows], float)
-    columns = [np.frombuffer(r["buckets"], "<i4") for r in rows]
-    of = np.repeat(np.arange(len(rows)), [len(c) for c in columns])
-    bucket = np.concatenate(columns)
-    value = ratio[bucket]
     # both classes weigh by their true share among labelled rows, whatever the sample took of each
     weight = np.array([r["weight"] for r in rows])
     weight /= weight.mean()
-    w, b = np.zeros(BUCKETS), float(np.log(weight[y == 1].sum() / weight[y == 0].sum()))
-    m1, m2, mb, vb = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
+    parts = []  # (first row, rows, row of each place, places), a thousand rows each
+    for first in range(0, len(rows), 1000):
+        columns = [np.frombuffer(r["places"], "<u2") for r in rows[first : first + 1000]]
+        parts.append((first, len(columns), np.repeat(np.arange(len(columns), dtype=np.uint16), [len(c) for c in columns]), np.concatenate(columns)))
+    del rows, columns
+    ratio = ratio[kept]
+    w, b = np.zeros(len(kept)), float(np.log(weight[y == 1].sum() / weight[y == 0].sum()))
+    m1, m2, mb, vb = np.zeros(len(kept)), np.zeros(len(kept)), 0.0, 0.0
     for t in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(of, weights=w[bucket] * value, minlength=len(y)) + b, -30, 30)))
+        scaled = w * ratio
+        total = np.concatenate([np.bincount(of, weights=scaled[at], minlength=n) for _, n, of, at in parts])
+        p = 1 / (1 + np.exp(-np.clip(total + b, -30, 30)))
         g = weight * (p - y) / len(y)
-        grad = np.bincount(bucket, weights=g[of] * value, minlength=BUCKETS) + ridge / len(y) * w
+        grad = sum(np.bincount(at, weights=g[first : first + n][of], minlength=len(kept)) for first, n, of, at in parts) * ratio + ridge / len(y) * w
         gb = g.sum()
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         step = 0.02
         w -= step * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
         b -= step * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-8)
-    return Model(np.where(keep, w * ratio, 0.0), b)
+    weights = np.zeros(BUCKETS)
+    weights[kept] = w * ratio
+    return Model(weights, b)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
