@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import two_places
 from ..functions.text import fmt_ts
 from .intervals import assign, best_overlap, unassigned
 from .keyframes import nearest_frame
@@ -129,7 +130,7 @@ def markdown(cards: DataFrame, names: DataFrame) -> DataFrame:
     head = F.format_string("## 씬 %02d [%s ~ %s]", F.col("scene_id"), fmt_ts(F.col("start_sec")), fmt_ts(F.col("end_sec")))
     chapter = F.array_compact(F.array(F.when(F.col("chapter").isNotNull(), F.concat(F.lit("- 챕터: "), F.coalesce("chapter.title", F.lit(""))))))
     cues = F.transform("subtitles", lambda s: F.concat(F.lit("- 내장 자막 ["), fmt_ts(s["start_sec"]), F.lit("]"), F.coalesce(F.concat(F.lit(" ("), F.nullif(s["language"], F.lit("")), F.lit(")")), F.lit("")), F.lit(": "), one(s["text"])))
-    events = F.transform("audio_events", lambda e: F.concat(F.lit("- 오디오 이벤트 ["), fmt_ts(e["start_sec"]), F.format_string("]: %s (%.2f)", e["label"], e["confidence"])))
+    events = F.transform("audio_events", lambda e: F.concat(F.lit("- 오디오 이벤트 ["), fmt_ts(e["start_sec"]), F.lit("]: "), e["label"], F.lit(" ("), two_places(e["confidence"]), F.lit(")")))
     many = lambda column, single, several: F.when(F.size(column) == 1, F.transform(column, single)).otherwise(F.transform(column, several))
     visuals = many(F.col("visual_captions"), lambda v: F.concat(F.lit("- 시각: "), v["caption"]), lambda v: F.concat(F.format_string("- 시각 %d/%d [", v["keyframe_index"], v["keyframe_count"]), fmt_ts(v["timestamp_sec"]), F.lit("]: "), v["caption"]))
     paths = F.when(F.size("keyframes") == 1, F.transform("keyframes", lambda p: F.concat(F.lit("- 키프레임: `"), p, F.lit("`")))).otherwise(

@@ -300,3 +300,15 @@ def test_nearest_over_many_blocks_is_the_same(spark, monkeypatch):
     q = e.where("doc_key % 5 = 0").withColumnRenamed("doc_key", "query_id")
     want = {(a, key, rank + 1) for a, v in rows if a % 5 == 0 for rank, (_, key) in enumerate(sorted((-sum(x * y for x, y in zip(v, w, strict=True)), key) for key, w in rows)[:3])}
     assert {(x.query_id, x.doc_key, x["rank"]) for x in search.nearest(e, q, 3).collect()} == want
+
+
+def test_two_places_round_the_exact_value(spark):
+    """As C and the SQL do: 0.285 is stored as less than itself, 0.125 is a true half."""
+    import random
+
+    r = random.Random(5)
+    xs = [0.285, 0.125, 0.375, 0.005, 0.015, 1.005, 2.675, 0.0, -0.0, -0.001, 1e-300, 0.995, 0.994999999999, 1.115, 35.855, 1e12 + 0.125, *(k / 1000 for k in range(2000)), *(k / 100 / 500 for k in range(0, 60000, 5)), *(r.uniform(-3, 1e4) for _ in range(3000))]
+    got = spark.createDataFrame([(k, x) for k, x in enumerate(xs)], "k int, x double").select("k", numeric.two_places(F.col("x")).alias("t")).collect()
+    assert {xs[g.k]: g.t for g in got} == {x: f"{x:.2f}" for x in xs}
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double").select(numeric.two_places(F.col("x"))).collect()
+    assert [o[0] for o in odd] == ["nan", "inf", "-inf", None]
