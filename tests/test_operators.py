@@ -312,3 +312,10 @@ def test_two_places_round_the_exact_value(spark):
     assert {xs[g.k]: g.t for g in got} == {x: f"{x:.2f}" for x in xs}
     odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double").select(numeric.two_places(F.col("x"))).collect()
     assert [o[0] for o in odd] == ["nan", "inf", "-inf", None]
+
+
+def test_static_context_rounds_confidences_by_their_exact_value(spark):
+    card = "media_id int, scene_id int, start_sec double, end_sec double, caption string, ocr_text string, chapter struct<title:string>, subtitle_text string, audio_event_text string, audio_events array<struct<label:string,confidence:double>>, transcript array<struct<start_sec:double,end_sec:double,speaker:string,text:string>>"
+    cards = spark.createDataFrame([(1, 1, 0.0, 5.0, None, None, None, None, "L", [("L", 0.285), ("L", 0.125), ("L", 0.375)], [])], card)
+    media = spark.createDataFrame([(1, "m", 5.0, 1, [])], "media_id int, name string, duration_sec double, scene_count long, speakers array<string>")
+    assert "L (0.28), L (0.12), L (0.38)" in one(context.static_context(cards, media)).context
