@@ -343,3 +343,24 @@ def test_scores_of_blocks_by_matrix_and_by_pair(spark, monkeypatch, dense):
     assert {t for _, t in scorer.cards.dtypes} == {"bigint", "binary"} and scorer.cards.count() == 18
     tasks = scorer.cards.rdd.getNumPartitions()
     assert given[0] <= 7 * 2 * tasks * 4
+
+
+def test_places_of_candidates_of_many_blocks(spark, monkeypatch):
+    """Wanted rows of any number, rows that tie, and scores too large to be packed into one number."""
+    import random
+
+    monkeypatch.setattr(search, "CARDS", 1)
+    monkeypatch.setattr(search, "QUERIES", 2)
+    monkeypatch.setattr(search, "WANTED", 7)
+    monkeypatch.setattr(search, "HELD", 20)
+    r = random.Random(8)
+    for large in (1.0, 1e7):
+        rows = [(k, [r.choice([-1.0, 0.5, 1.0]) * large for _ in range(3)]) for k in range(50)]
+        e = spark.createDataFrame(rows, "doc_key long, vector array<double>")
+        scorer = search.VectorScorer(e, e.where("doc_key % 10 = 0").withColumnRenamed("doc_key", "query_id"))
+        some = [(q, d) for q in range(0, 50, 10) for d in range(60) if (q + d) % 3]
+        got = {(x.query_id, x.doc_key): x["rank"] for x in search.ranks_of(scorer, spark.createDataFrame(some, "query_id long, doc_key long"), 6).collect()}
+        of = dict(rows)
+        score = lambda q, d: sum(a * b for a, b in zip(of[q], of[d], strict=True))  # noqa: E731, B023
+        places = {q: {d: n for n, d in enumerate(sorted(of, key=lambda d: (-round(score(q, d), 6), d)), 1)} for q in range(0, 50, 10)}  # noqa: B023
+        assert got == {(q, d): places[q][d] for q, d in some if d in of}
