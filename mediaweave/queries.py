@@ -299,9 +299,8 @@ def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"WITH {_SIMILAR} SELECT query_id, r.doc_id AS vec_id, round(sim, 6) AS similarity, rank FROM sr r JOIN embeddings a ON a.vec_id = r.query_id JOIN embeddings b ON b.vec_id = r.doc_id WHERE a.label = b.label")
 def semantic_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MTH5, MTH6, WIN5: every fiftieth vector as a query; the places, among all vectors, of those that share its label."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), "label")
-    same = e.where("doc_key % 50 = 0").select(F.col("doc_key").alias("query_id"), "label").join(e, "label").select("query_id", "doc_key")
-    out = search.ranks_of(_fiftieth(spark, sf_dir)[1], same, 6)
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_key"), F.col("embedding").alias("vector"), F.col("label").alias("class"))
+    out = search.ranks_within(search.ClassScorer(e, e.where("doc_key % 50 = 0").withColumnRenamed("doc_key", "query_id")), 6)
     return out.select("query_id", F.col("doc_key").alias("vec_id"), F.round("score", 6).alias("similarity"), "rank")
 
 

@@ -390,3 +390,34 @@ def test_static_contexts_of_events_without_a_user(spark, data, tmp_path):
     want = con.execute(ORACLE_SQL["static_contexts"]).fetchall()
     got = [tuple(r) for r in QUERIES["static_contexts"](spark, str(tmp_path)).collect()]
     assert (None, None, None, None) in want and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_ranks_within_are_places_among_all_vectors(spark, monkeypatch):
+    """Over many blocks, with ties, vectors without a class, and queries whose class has no other vector or which have none."""
+    import random
+
+    monkeypatch.setattr(search, "CARDS", 2)
+    monkeypatch.setattr(search, "QUERIES", 3)
+    r = random.Random(3)
+    v = {i: ([r.choice([-1.0, 0.0, 0.5]) for _ in range(3)], r.choice([0, 1, None]) if i else 7) for i in range(120)}
+    table = "{} long, vector array<double>, class int"
+    e = spark.createDataFrame([(i, *x) for i, x in v.items()], table.format("doc_key")).repartition(4)
+    q = spark.createDataFrame([(i, *x) for i, x in v.items() if i % 9 == 0], table.format("query_id"))
+    got = {(x.query_id, x.doc_key): x["rank"] for x in search.ranks_within(search.ClassScorer(e, q), 6).collect()}
+    want = {}
+    for i in range(0, 120, 9):
+        order = sorted(v, key=lambda j: (-sum(a * b for a, b in zip(v[i][0], v[j][0], strict=True)), j))
+        want |= {(i, j): n for n, j in enumerate(order, 1) if v[i][1] is not None and v[i][1] == v[j][1]}
+    assert got == want
+
+
+def test_semantic_rank_reads_the_vectors_alone(spark, data, tmp_path):
+    """As its SQL: no index of documents is made first."""
+    import duckdb
+
+    from mediaweave.queries import ORACLE_SQL, QUERIES
+
+    spark.read.parquet(f"{data}/embeddings.parquet").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(map(tuple, QUERIES["semantic_rank"](spark, str(tmp_path)).collect())) == sorted(con.execute(ORACLE_SQL["semantic_rank"]).fetchall())
